@@ -90,7 +90,7 @@ def _scan(sizes: list[int], keys: np.ndarray | None, shingles: np.ndarray | None
 
         def ahead(values: np.ndarray, by: int) -> np.ndarray:
             moved = np.full_like(values, top)
-            moved[: len(values) - by] = values[by:]
+            moved[: max(0, len(values) - by)] = values[by:]
             moved[at + by >= last] = top
             return moved
 

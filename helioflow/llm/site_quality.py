@@ -26,6 +26,8 @@ from helioflow.llm.common import slices, stored, within_share
 LABEL_SAMPLE = 8_000
 BUCKETS = 1 << 16
 TARGETS = ("good", "toxic")
+#: A word is evidence if its log-likelihood ratio is above this.
+LEAST_RATIO = 20.0
 EXTRA = 3  # word evidence: sum of the signs against, sum for, the strongest for, of each target
 STYLE = 11
 
@@ -115,8 +117,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = LABEL_SAMPLE) ->
     for no, yes in ((n[0], n[1]), (n[2], n[3])):
         total_no, total_yes = max(no[-1], 1), max(yes[-1], 1)
         odds = np.log((yes + 0.5) / (total_yes + 1)) - np.log((no + 0.5) / (total_no + 1))
-        error = np.sqrt(1 / (yes + 0.5) + 1 / (no + 0.5))
-        evidence.append(np.where(abs(odds) > 5 * error, odds, 0)[:-1])
+        both = np.maximum(yes + no, 1)
+        expected = both * total_yes / (total_yes + total_no), both * total_no / (total_yes + total_no)
+        ratio = 2 * sum(n * np.log(np.maximum(n, 1e-9) / e) for n, e in zip((yes, no), expected, strict=True))
+        evidence.append(np.where(ratio > LEAST_RATIO, odds, 0)[:-1])
     model = Classifier(np.array(evidence))
 
     def measured(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
