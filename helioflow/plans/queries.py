@@ -342,20 +342,20 @@ def frame_value_fraction(spark, sf_dir):
 
 @query(
     f""">s as (select variable, frame, sum(case when {_QUANTISED} = 0 then 1 else 0 end) / count(*) as fraction from grid group by 1, 2)
-    select variable, max(fraction) as worst, max(fraction) > 0.25 as too_many from s group by 1""",
+    select variable, max(fraction) as worst, max(fraction) > 0.63 as too_many from s group by 1""",
     "grid",
 )
 def too_many_of_value(spark, sf_dir):
-    return g.too_many(g.value_fraction(_quantised(spark, sf_dir), ["variable", "frame"], F.col("value") == 0), ["variable"], 0.25)
+    return g.too_many(g.value_fraction(_quantised(spark, sf_dir), ["variable", "frame"], F.col("value") == 0), ["variable"], 0.63)
 
 
 _OK_SQL = f""">s as (select variable, frame, sum(case when {_QUANTISED} = 0 then 1 else 0 end) / count(*) as a, sum(case when value > 0.3 then 1 else 0 end) / count(*) as b
-    from grid where x between 1 and 6 and y between 1 and 6 group by 1, 2), ok as (select variable, max(a) as worst_0, max(b) as worst_1, max(a) <= 0.4 and max(b) <= 0.3 as ok from s group by 1)"""
+    from grid where x between 1 and 6 and y between 1 and 6 group by 1, 2), ok as (select variable, max(a) as worst_0, max(b) as worst_1, max(a) <= 0.68 and max(b) <= 0.3 as ok from s group by 1)"""
 
 
 def _satellite_ok(spark, sf_dir):
     cells = g.spatial_filter(views.grid(spark, sf_dir), 1, 6, 1, 6)
-    return g.data_ok(cells, ["variable"], "frame", [(F.floor(F.col("value") * 2) == 0, 0.4), (F.col("value") > 0.3, 0.3)])
+    return g.data_ok(cells, ["variable"], "frame", [(F.floor(F.col("value") * 2) == 0, 0.68), (F.col("value") > 0.3, 0.3)])
 
 
 @query(f"{_OK_SQL} select * from ok", "grid")
@@ -668,11 +668,11 @@ def score_national(spark, sf_dir):
 
 # --- adjustment ----------------------------------------------------------------------------------
 
-_DELTA_SQL = """cutoff as (select time_bucket(interval '1 day', max(ts)) as at from events),
+_DELTA_SQL = """cutoff as (select time_bucket(interval '1 day', max(ts)) as day from events),
     past as (select model as forecaster, location_id, target_time, date_diff('minute', init_time, target_time) as horizon_mins, mw / 512 as p50 from forecast where model <> 'error'),
     observed as (select location_id, target_time, mw / 512 as observed from forecast where model = 'error'),
     deltas as (select forecaster, location_id, horizon_mins, cast(sum(cast(p50 as decimal(24, 12)) - cast(observed as decimal(24, 12))) as double) / count(*) as delta
-      from past join observed using (location_id, target_time), cutoff where target_time >= at - interval 7 day and target_time < at group by 1, 2, 3)"""
+      from past join observed using (location_id, target_time), cutoff where target_time >= day - interval 7 day and target_time < day group by 1, 2, 3)"""
 
 
 def _past(spark, sf_dir):
