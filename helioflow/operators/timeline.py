@@ -61,11 +61,12 @@ def gap_plan(times: DataFrame, keys: list[str], step: int = 5, max_gap: int = 15
     )
     marks = times.select(*keys, "time", F.lit(None).cast("timestamp").alias("out")).unionByName(gaps.select(*keys, F.col("out").alias("time"), "out"))
     # At one time a present frame comes before a missing one: there is none, both can't be.
-    order = Window.partitionBy(*keys).orderBy("time")
+    # Both frames run from their start to the current row: one that ends at the partition's end is quadratic.
+    so_far = (Window.unboundedPreceding, Window.currentRow)
     present = F.when(F.col("out").isNull(), F.col("time"))
-    seen = marks.withColumn("before", F.last(present, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn(
-        "after", F.first(present, ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
-    )
+    forward = Window.partitionBy(*keys).orderBy("time").rowsBetween(*so_far)
+    backward = Window.partitionBy(*keys).orderBy(F.desc("time")).rowsBetween(*so_far)
+    seen = marks.withColumns({"before": F.last(present, ignorenulls=True).over(forward), "after": F.last(present, ignorenulls=True).over(backward)})
     share = (epoch_minutes(F.col("time")) - epoch_minutes(F.col("before"))) / (epoch_minutes(F.col("after")) - epoch_minutes(F.col("before")))
     return seen.where(F.col("out").isNotNull() | grid).select(*keys, "time", "before", "after", F.when(F.col("out").isNotNull(), share).alias("weight"))
 
