@@ -258,8 +258,10 @@ def plain_line_dedup(rows):
     lines = list(dict.fromkeys(p[2] for p in places))
 
     def grams(line):
-        t = re.sub(r"[ \t\n\x0b\f\r]+", " ", line).strip(" ").lower()
-        return {t} if len(t) < 8 else {t[i : i + 8] for i in range(len(t) - 7)}
+        t = line.strip(" ").lower()
+        every = [t[i : i + 8] for i in range(len(t) - 7)]
+        some = [x for x in every if x[0] in "aoäöüáàâóô0123456789"]
+        return set(some if len(some) >= 12 else every or [t])
 
     sets = [grams(x) for x in lines]
     links = [(i, j) for i in range(len(lines)) for j in range(i) if min(len(sets[i]), len(sets[j])) >= 0.8 * max(len(sets[i]), len(sets[j])) and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
