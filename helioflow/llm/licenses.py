@@ -12,10 +12,13 @@ the counts of the few licence words.
 from __future__ import annotations
 
 from functools import reduce
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helioflow.llm.common import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases whose places are counted, and their labels (fixed values).
@@ -50,19 +53,20 @@ def words(text: Column) -> Column:
 
 
 def _rows(docs: DataFrame) -> DataFrame:
-    """Each row's words, and the places of licence words."""
+    """The one pass over the texts, stored: ``doc_id, n_words``, the licence words that occur, and
+    the words in order if all those of some phrase occur (no label is possible otherwise)."""
     split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
-    placed = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(VOCABULARY))
-    return split.withColumn("hits", placed)
+    seen = split.withColumn("seen", F.array_distinct(F.filter("words", lambda w: w.isin(VOCABULARY))))
+    phrases = sorted({p for _, _, p in TEMPLATES} | set(BASE))
+    possible = reduce(lambda a, b: a | b, [F.size(F.array_intersect("seen", F.lit(sorted(set(p.split()))))) == len(set(p.split())) for p in phrases])
+    none = F.array().cast("array<string>")
+    return stored(seen.select("doc_id", F.size("words").cast("long").alias("n_words"), "seen", F.when(possible, F.col("words")).otherwise(none).alias("words")))
 
 
-def rarity(docs: DataFrame) -> dict[str, float]:
+def rarity(rows: DataFrame) -> dict[str, float]:
     """Inverse document frequency of every licence word, from all documents; a few dozen numbers."""
-    seen = F.explode(F.array_distinct(F.filter(words(F.col("text")), lambda w: w.isin(VOCABULARY))))
-    counts = {r["w"]: r["n"] for r in docs.select(seen.alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
-    total = docs.count()
-    from math import log
-
+    counts = {r["w"]: r["n"] for r in rows.select(F.explode("seen").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}
+    total = rows.count()
     return {w: log((total + 1) / (counts.get(w, 0) + 1)) + 0.01 for w in VOCABULARY}
 
 
@@ -107,8 +111,10 @@ def scan(docs: DataFrame) -> DataFrame:
     texts have no word, label or score. Ties between anchors: the first word. Repeated rows and
     null ids keep their rows. Empty input: no rows. Other columns are not read.
     """
-    idf = rarity(docs)
-    found = _rows(docs)
+    rows = _rows(docs)
+    idf = rarity(rows)
+    placed = F.filter(F.transform("words", lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(VOCABULARY))
+    found = rows.withColumn("hits", placed)
     some = F.size("hits") > 0
     base = {f"base_{k}": F.when(some, _phrase_places(p, idf)).otherwise(F.array().cast("array<int>")) for k, p in enumerate(BASE)}
     must = sorted({p for _, _, p in TEMPLATES})
@@ -123,7 +129,7 @@ def scan(docs: DataFrame) -> DataFrame:
     best = F.greatest(F.lit(0.0), *(F.when(m, F.col(f"share_{k}")).otherwise(0.0) for k, m in matched.items()))
     return found.select(
         "doc_id",
-        F.size("words").cast("long").alias("n_words"),
+        "n_words",
         F.size(places).cast("long").alias("n_base"),
         F.array_min(places).cast("long").alias("first_word"),
         F.array_max(places).cast("long").alias("last_word"),
