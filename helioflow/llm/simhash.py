@@ -9,7 +9,8 @@ bucket of n fingerprints gives n edges, not n squared.
    half is also a variant of another fingerprint. This only removes the isolated ones.
 2. Balls. The rest emit 64-bit variants, shuffled on the variant. Distances 1 and 3 join odd to
    even bit counts, so only odd ones emit two-bit variants; and of three bits two lie in the
-   same half, so two-bit variants stay within a half. Members within one bit of a variant are
+   same half, so two-bit variants stay within a half, and the screen must have met the fingerprint's
+   other half, which is then within 1 bit. Members within one bit of a variant are
    within 2 of each other, and within 3 of members two bits away: all link to the smallest of
    the former, with no loss and no false link.
 3. Components of these stars.
@@ -68,6 +69,12 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def _variants(fingerprints: DataFrame, masks: list[int], close: bool) -> DataFrame:
+    """Each fingerprint under each mask."""
+    each = fingerprints.select("fp", F.explode(F.lit(masks)).alias("mask"))
+    return each.select("fp", F.lit(close).alias("close"), F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
+
+
 def near_links(distinct_fp: DataFrame) -> DataFrame:
     """Star edges ``a, b`` that connect exactly the fingerprints within 3 bits of each other."""
     low, high = F.col("fp").bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned("fp", 32)
@@ -78,18 +85,13 @@ def near_links(distinct_fp: DataFrame) -> DataFrame:
         F.transform(flips, lambda m: high.bitwiseXOR(m.cast("long")) + upper),
     )
     met = distinct_fp.select(F.explode(variants).alias("key")).groupBy("key").count().where("count > 1").select("key")
-    near = (
-        distinct_fp.select("fp", F.explode(F.array(low, high + upper)).alias("key"))
-        .join(met, "key")
-        .select("fp")
-        .distinct()
-    )
-    near = cut(near)
+    own = distinct_fp.select("fp", F.explode(F.array(low, high + upper)).alias("key")).join(met, "key")
+    near = cut(own.groupBy("fp").agg(F.bool_or(F.col("key") < upper).alias("low_met"), F.bool_or(F.col("key") >= upper).alias("high_met")))
     ones = [_signed(1 << i) for i in range(64)]
-    twos = [_signed(1 << i | 1 << j) for half in (range(32), range(32, 64)) for i, j in combinations(half, 2)]
-    close = near.select("fp", F.explode(F.lit([0, *ones])).alias("mask"), F.lit(True).alias("close"))
-    wide = near.where("bit_count(fp) % 2 = 1").select("fp", F.explode(F.lit(twos)).alias("mask"), F.lit(False).alias("close"))
-    balls = close.unionByName(wide).select("fp", "close", F.col("fp").bitwiseXOR(F.col("mask")).alias("variant"))
+    low_twos, high_twos = ([_signed(1 << i | 1 << j) for i, j in combinations(half, 2)] for half in (range(32), range(32, 64)))
+    odd = near.where("bit_count(fp) % 2 = 1")
+    balls = _variants(near, [0, *ones], True)
+    balls = balls.unionByName(_variants(odd.where("high_met"), low_twos, False)).unionByName(_variants(odd.where("low_met"), high_twos, False))
     hub = F.min(F.when(F.col("close"), F.col("fp"))).over(Window.partitionBy("variant"))
     return balls.select(F.col("fp").alias("a"), hub.alias("b")).where("a <> b").distinct()
 
