@@ -94,10 +94,13 @@ class Model:
 def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     """Learn from at most about ``train_docs`` rows of each language; text and lang only.
 
-    What comes to the driver is bounded: buckets and scripts for each language.
+    What comes to the driver is bounded: a share, buckets and scripts for each language. The
+    sample is taken where the texts are read, so that no text is shuffled.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(~held_out("doc_id", 4))
-    share = known.groupBy("lang").agg(F.least(F.lit(1.0), train_docs / F.count("*")).alias("share"))
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    shares = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, train_docs / n))))
+    share = shares[F.col("lang")] if sizes else F.lit(0.0)
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in slices(frames, "text", 4_000_000):
@@ -107,7 +110,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
                     slots = np.flatnonzero(n)
                     yield pd.DataFrame({"lang": lang, "kind": kind, "slot": slots, "n": n[slots].astype(np.int64)})
 
-    sample = known.select("doc_id", "lang", "text").join(share, "lang").where(within_share(F.col("share"), "doc_id")).select("lang", "text")
+    sample = known.where(within_share(share, "doc_id")).select("lang", "text")
     counts = (
         sample.mapInPandas(counted, "lang string, kind string, slot int, n long").groupBy("lang", "kind", "slot").agg(F.sum("n").alias("n")).toPandas()
     )
