@@ -55,7 +55,7 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows in slices(frames, "text", 8_000_000):
         found = np.fromiter(map(fingerprint, rows["text"].where(rows["text"].notna(), None)), np.uint64, len(rows))
-        yield pd.DataFrame({"doc_id": rows["doc_id"], "fp": found.view(np.int64)})
+        yield rows.drop(columns="text").assign(fp=found.view(np.int64))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -96,6 +96,13 @@ def near_links(distinct_fp: DataFrame) -> DataFrame:
     return balls.select(F.col("fp").alias("a"), hub.alias("b")).where("a <> b").distinct()
 
 
+def _rooted(first: DataFrame) -> DataFrame:
+    """``first``, a row for each distinct ``fp``, with the ``root`` of its component."""
+    comps = connected_components(near_links(first.select("fp")))
+    # A fingerprint without links is its own component.
+    return first.join(comps.withColumnRenamed("node", "fp"), "fp", "left").select(*first.columns, F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs``.
 
@@ -107,11 +114,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     prints = cut(fingerprints(docs))
     first = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    comps = connected_components(near_links(first.select("fp")))
-    # A fingerprint without links is its own component.
-    rooted = first.join(comps.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root")
-    )
+    rooted = _rooted(first)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = cut(rooted.join(least, "root").select("fp", "component_id"))
     return prints.join(classes, "fp").select(
@@ -122,19 +125,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each near-duplicate component: the one with the smallest doc_id.
 
-    Ties (equal doc_id), and components without any id, keep the row with the smallest hash of its
-    text; rows equal in both are copies of which one stays. All columns pass unchanged.
+    Rows with a null doc_id come after those with one. Ties (equal doc_id), and components without
+    any id, keep the row with the smallest hash of its text; rows equal in both are copies of which
+    one stays. All columns pass unchanged.
     """
-    names = docs.columns
-    found = near_duplicates(docs).select(F.col("doc_id").alias("__id"), "component_id").where(F.col("__id").eqNullSafe(F.col("component_id")))
-    firsts = cut(found.select("__id").distinct())
-    own = F.col("doc_id").cast("long")
-    kept = docs.join(firsts, own.eqNullSafe(F.col("__id")), "left_semi")
-    repeated = cut(docs.groupBy(own.alias("__id")).count().where("count > 1").select("__id"))
+    names, own = docs.columns, ["__none", "__id", "__t"]
+    number, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    # Pandas would make floats of ids with nulls among them.
+    marks = {"__none": number.isNull(), "__id": F.coalesce(number, F.lit(0)), "__t": F.xxhash64(text)}
+    marked = docs.withColumns(marks)
+    prints = cut(marked.select(*own, text.alias("text")).mapInPandas(_fingerprints, "__none boolean, __id long, __t long, fp long"))
+    first = cut(prints.groupBy("fp").agg(F.min(F.struct(*own)).alias("first")))
+    kept = cut(_rooted(first).groupBy("root").agg(F.min("first").alias("first")).select("first.*"))
+    repeated = cut(prints.groupBy(*own).count().where("count > 1").select(*own).join(kept, own, "left_semi"))
     if repeated.isEmpty():
-        return kept.select(*names)
-    single = kept.join(repeated, own.eqNullSafe(F.col("__id")), "left_anti")
-    several = kept.join(repeated, own.eqNullSafe(F.col("__id")), "left_semi")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    one = several.withColumn("__rank", rank).where("__rank = 1").drop("__rank")
-    return single.unionByName(one).select(*names)
+        return marked.join(kept, own, "left_semi").select(*names)
+    single = marked.join(kept.join(repeated, own, "left_anti"), own, "left_semi")
+    several = marked.join(repeated, own, "left_semi").dropDuplicates(own)
+    return single.unionByName(several).select(*names)
