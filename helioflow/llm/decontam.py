@@ -5,7 +5,8 @@ than half of it. For each class a document is read through windows as long as it
 short item meets a set of its own size even inside a very long document; an item at containment
 0.8 then has a Jaccard similarity of about 0.3 or more with some window. ``PERMUTATIONS`` minima
 of one row each miss such a window with a probability below 0.001. Windows whose minimum equals
-an item's are candidates; exact containment over the whole document decides.
+an item's are candidates; exact containment over the whole document decides. Items of one or two
+shingles would be missed more often: their shingles are looked up directly, without windows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ THRESHOLD = 0.8
 PERMUTATIONS = 24
 #: Shingles of a block; windows begin at every block.
 BLOCK = 4
+#: Items of up to so many shingles are class ``EXACT``: each shingle is a key.
+FEW = 2
+EXACT = 0
 #: Keys of items up to this number go to the tasks to filter what they emit; beyond it only a
 #: bitmap of fixed size does, and the joins decide.
 MAX_SENT_KEYS = 1_000_000
@@ -66,6 +70,9 @@ def _items(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = np.unique(shingle_hashes(text if isinstance(text, str) else None))
             if item is None or item != item or not len(found):
                 continue
+            if len(found) <= FEW:
+                out.append((item, EXACT, _key(EXACT, 0, found).tolist(), found.view(np.int64)))
+                continue
             size = size_class(len(found))
             keys = [int(_key(size, k, (found * np.uint64(m)).min(keepdims=True))[0]) for k, m in enumerate(_MULTIPLIERS)]
             out.append((item, size, keys, found.view(np.int64)))
@@ -76,7 +83,7 @@ def _scan(sizes: list[int], keys: np.ndarray | None, shingles: np.ndarray | None
     """Emit candidate keys, and for documents that have one, the shingles to verify."""
 
     def windows(docs: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
-        """(place of the document, keys) of every window whose minimum may be an item's."""
+        """(place of the document, keys) of every window whose minimum, or shingle that, may be an item's."""
         hashes = np.concatenate([h for _, h in docs])
         counts = np.array([-(-len(h) // BLOCK) for _, h in docs])
         owner = np.repeat(np.arange(len(docs)), counts)
@@ -94,7 +101,18 @@ def _scan(sizes: list[int], keys: np.ndarray | None, shingles: np.ndarray | None
             moved[at + by >= last] = top
             return moved
 
-        for k, m in enumerate(_MULTIPLIERS):
+        def met(found: np.ndarray) -> np.ndarray:
+            hit = np.flatnonzero(bitmap[(found.view(np.uint64) >> _TOP).astype(np.int64)])
+            if keys is not None and len(hit):
+                near = np.minimum(np.searchsorted(keys, found[hit]), len(keys) - 1)
+                hit = hit[keys[near] == found[hit]]
+            return hit
+
+        if EXACT in sizes:
+            found = _key(EXACT, 0, hashes)
+            if len(hit := met(found)):
+                yield np.searchsorted(ends, hit, "right"), found[hit]
+        for k, m in enumerate(_MULTIPLIERS if max(sizes) > EXACT else []):
             one = np.minimum.reduceat(hashes * np.uint64(m), starts)
             run, width = one, 1
             for size in range(2, 1 + max(sizes).bit_length()):
@@ -106,11 +124,7 @@ def _scan(sizes: list[int], keys: np.ndarray | None, shingles: np.ndarray | None
                     continue
                 whole = np.minimum(run, ahead(one, width))
                 found = _key(span, k, whole)
-                hit = np.flatnonzero(bitmap[(found.view(np.uint64) >> _TOP).astype(np.int64)])
-                if keys is not None and len(hit):
-                    near = np.minimum(np.searchsorted(keys, found[hit]), len(keys) - 1)
-                    hit = hit[keys[near] == found[hit]]
-                if len(hit):
+                if len(hit := met(found)):
                     yield owner[hit], found[hit]
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
