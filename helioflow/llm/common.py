@@ -6,7 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +63,19 @@ def slices(frames: Iterator[pd.DataFrame], column: str, chars: int) -> Iterator[
         part = ((sizes.cumsum() - sizes) // chars).astype("int64")
         for _, rows in frame.groupby(part, sort=True):
             yield rows
+
+
+def strings(texts: pa.Array, chars: int = 1_000_000) -> Iterator[str | None]:
+    """The texts of an Arrow array, made into Python strings a part at a time."""
+    for part in parts(texts, chars):
+        yield from part
+
+
+def parts(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
+    """Parts of about ``chars`` bytes of an Arrow array of texts, to bound a worker's memory; none is empty."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (sizes.cumsum() - sizes) // chars
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield texts.slice(a, b - a).to_pylist()

@@ -12,115 +12,113 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioflow.llm.common import cut, slices
+from helioflow.llm.common import cut, strings
 
 CAPACITY = 4096
 END_ID = 1
 SHARD_PIECES = 40_000
-#: Chunks of text whose ids a worker remembers; about 250 bytes each.
-CACHED_CHUNKS = 600_000
+#: What a worker remembers of chunks, in characters of text and in chunks; about 250 bytes each.
+CACHED_CHARS, CACHED_CHUNKS = 16_000_000, 600_000
 #: Letters that are one word to this tokenizer, and marks that it always parts from letters before them.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*]*)")
-WORDS_AT_ONCE = 2_000
+LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+MARKS = ".,;:!?#$%&*"
+#: Bytes that the tokenizer's byte alphabet shows as themselves, as ranges (fixed values); the others are shown, in order, as the code points from 256 on.
+SHOWN = [(0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)]
 
-_loaded: dict[str, tuple[object, np.ndarray, dict[str, bytes]]] = {}
 
+def byte_alphabet() -> dict[int, int]:
+    hidden = [b for b in range(256) if not any(a <= b <= z for a, z in SHOWN)]
+    return {b: 256 + k for k, b in enumerate(hidden)}
 
-def _load(path: str) -> tuple[object, np.ndarray, dict[str, bytes]]:
-    """The tokenizer, which of its ids end a word, and the ids remembered so far."""
-    if path not in _loaded:
-        from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        vocabulary = tokenizer.get_vocab()
-        ends = np.zeros(1 + max(vocabulary.values()), bool)
-        ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        _loaded[path] = (tokenizer, ends, {})
-    return _loaded[path]
+class ChunkIds(dict):
+    """Ids, as little-endian bytes, of chunks of text between blanks; learnt when first asked for.
+
+    This tokenizer never joins characters across white space, and parts marks from the letters
+    before them. The letters of a word go to its merges directly, in lower case; what is not
+    letters and then marks goes through the whole tokenizer.
+    """
 
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
 
-def _learn(new: set[str], tokenizer: object, ends: np.ndarray, known: dict[str, bytes]) -> None:
-    """Remember the ids of ``new`` chunks. Words of letters are encoded in lower case, many at a
-    time, and told apart by the ids that end a word; marks behind a word have ids of their own."""
-    parted, single = [], []
-    for chunk in new:
-        found = PLAIN.fullmatch(chunk)
-        if found:
-            parted.append((chunk, found[1].lower(), found[2]))
+        super().__init__()
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model.tokenize
+        self.alphabet = byte_alphabet()
+        self.words: dict[str, bytes] = {}
+        self.coded = [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
+        self.chars = 0
+
+    def __missing__(self, chunk: str) -> bytes:
+        word = chunk.rstrip(MARKS)
+        plain = word.isascii()
+        if word.isalpha() if plain else LETTERS.fullmatch(word):
+            lower = word.lower()
+            data = self.words.get(lower)
+            if data is None:
+                shown = lower if plain else lower.encode().decode("latin-1").translate(self.alphabet)
+                self.words[lower] = data = b"".join([self.coded[t.id] for t in self.merges(shown)])
+            if len(word) < len(chunk):
+                data += self[chunk[len(word):]]
         else:
-            single.append(chunk)
-    known[""] = b""
-    words = list({word for _, word, _ in parted}.difference(known))
-    single += {marks for _, _, marks in parted}.difference(known, single)
-    groups = [words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
-    for group, found in zip(groups, tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
-        ids = np.array(found.ids, "<u4")
-        stops = np.flatnonzero(ends[ids]) + 1
-        if len(stops) != len(group):
-            single += group
-            continue
-        data, at = ids.tobytes(), 0
-        for word, stop in zip(group, (4 * stops).tolist(), strict=True):
-            known[word] = data[at:stop]
-            at = stop
-    for at in range(0, len(single), 20_000):
-        part = single[at : at + 20_000]
-        for chunk, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            known[chunk] = np.array(found.ids, "<u4").tobytes()
-    known.update({chunk: known[word] + known[marks] for chunk, word, marks in parted})
-
-
-def _encoder(path: str) -> Callable[[list[str]], list[bytes]]:
-    """Ids, as little-endian bytes, of texts by the tokenizer file at ``path``.
-
-    This tokenizer never joins characters across white space, so ids are taken for each distinct
-    chunk between blanks and remembered.
-    """
-    tokenizer, ends, known = _load(path)
+            data = self.encoded(chunk)
+        self.chars += len(chunk)
+        self[chunk] = data
+        return data
 
-    def encode(texts: list[str]) -> list[bytes]:
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        distinct = set().union(*split)
-        new = distinct.difference(known)
-        if len(known) + len(new) > CACHED_CHUNKS:
-            known.clear()
-            new = distinct
-        _learn(new, tokenizer, ends, known)
-        return [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+    def encoded(self, text: str) -> bytes:
+        return b"".join([self.coded[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
 
-    return encode
+    def of(self, text: str) -> bytes:
+        if self.chars > CACHED_CHARS or len(self) > CACHED_CHUNKS:
+            self.clear()
+            self.words.clear()
+            self.chars = 0
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+
+
+_loaded: dict[str, ChunkIds] = {}
+
+
+def chunk_ids(path: str) -> ChunkIds:
+    """The worker's tokenizer of the file at ``path``, with what it remembers."""
+    if path not in _loaded:
+        _loaded[path] = ChunkIds(path)
+    return _loaded[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32``: each document's ids and the end id, cut.
 
-    Null text counts as empty: a piece with the end id alone.
+    Null text counts as empty: a piece with the end id alone. Only the text goes through Python.
     """
-    end = np.array([end_id], "<u4").tobytes()
-
-    def cut_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoder(tokenizer_path)
-        for rows in slices(frames, "text", 1_000_000):
-            out = []
-            ids = encode([x if isinstance(x, str) else "" for x in rows["text"]])
-            for doc, data in zip(rows["doc_id"], ids, strict=True):
-                data += end
-                for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                    part = data[at : at + 4 * capacity]
-                    out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            frame = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield frame.assign(doc_id=frame["doc_id"].astype("Int64"))
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        cut_up, "doc_id long, piece int, start long, length long, ids_crc32 long"
-    )
+    end, shape = end_id.to_bytes(4, "little"), "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
+
+    def cut_up(texts: pa.Array) -> pa.Array:
+        ids, sizes, rows = chunk_ids(tokenizer_path), [0], []
+        for text in strings(texts):
+            data = ids.of(text or "") + end
+            for k, at in enumerate(range(0, len(data), 4 * capacity)):
+                part = data[at : at + 4 * capacity]
+                rows.append((k, at // 4, len(part) // 4, zlib.crc32(part)))
+            sizes.append(len(rows))
+        columns = list(zip(*rows, strict=True)) or [[]] * 4
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        each = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+        return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(each, names=["piece", "start", "length", "ids_crc32"]))
+
+    cut = F.arrow_udf(cut_up, shape)
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), cut(F.col("text").cast("string")).alias("pieces"))
+    return found.select("doc_id", F.inline("pieces"))
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -242,9 +240,11 @@ def pack_sequences(
     underfull pools their pieces with those of all shards; that pool, at most a few bins from each
     shard, is dealt to shards and packed once more.
     """
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-    cut_docs = cut(pieces(docs, tokenizer_path, capacity, end_id))
-    shape = "doc_id long, piece int, start long, length long, ids_crc32 long, shard long, sequence_id long, offset long, fill long"
+    names = ["doc_id", "no_id", "piece", "start", "length", "ids_crc32"]
+    # Pandas would make floats of ids with nulls among them.
+    marked = {"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))}
+    cut_docs = cut(pieces(docs, tokenizer_path, capacity, end_id).withColumns(marked).select(*names))
+    shape = "doc_id long, no_id boolean, piece int, start long, length long, ids_crc32 long, shard long, sequence_id long, offset long, fill long"
 
     def dealt(rows: DataFrame, first: int) -> DataFrame:
         shards = max(1, -(-rows.count() // shard_pieces))
@@ -257,7 +257,5 @@ def pack_sequences(
     once = cut(dealt(cut_docs.where(F.col("length") < capacity), 0))
     good = F.col("fill") >= F.lit(capacity * 0.98)
     twice = dealt(once.where(~good), 1 << 20)
-    return (
-        whole.unionByName(once.where(good).select(*names, "sequence_id", "offset"))
-        .unionByName(twice.select(*names, "sequence_id", "offset"))
-    )
+    packed = whole.unionByName(once.where(good).select(*names, "sequence_id", "offset")).unionByName(twice.select(*names, "sequence_id", "offset"))
+    return packed.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
