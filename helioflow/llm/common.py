@@ -79,3 +79,11 @@ def parts(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
             yield texts.slice(a, b - a).to_pylist()
+
+
+def unused(names: list[str], like: str = "own") -> str:
+    """A column name that none of ``names`` clashes with, whatever its case."""
+    taken = {n.lower() for n in names}
+    while like.lower() in taken:
+        like += "_"
+    return like

@@ -14,12 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioflow.llm.common import cut, slices, stored
+from helioflow.llm.common import cut, parts, stored, strings, unused
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -29,13 +29,12 @@ BLOCK = 4
 #: Items of up to so many shingles are class ``EXACT``: each shingle is a key.
 FEW = 2
 EXACT = 0
-#: Keys of items up to this number go to the tasks to filter what they emit; beyond it only a
-#: bitmap of fixed size does, and the joins decide.
-MAX_SENT_KEYS = 1_000_000
-BITMAP_BITS = 16
+#: Bits of the filter that goes to the tasks for each key of an item, and the filter's largest
+#: size, as powers of two: 32 bits a key, 32 MB. Beyond that size more is emitted; joins decide.
+KEY_BITS, MOST_BITS = 5, 28
 
 _MULTIPLIERS = [xxhash.xxh64_intdigest(b"permutation", k) | 1 for k in range(PERMUTATIONS)]
-_TOP = np.uint64(64 - BITMAP_BITS)
+_PLACES = [xxhash.xxh64_intdigest(b"place", k) | 1 for k in range(4)]
 
 
 def shingle_hashes(text: str | None) -> np.ndarray:
@@ -63,24 +62,63 @@ def _key(size: int, k: int, values: np.ndarray) -> np.ndarray:
     return (values ^ np.uint64(xxhash.xxh64_intdigest(f"{size}/{k}".encode()))).view(np.int64)
 
 
-def _items(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in frames:
-        out = []
-        for item, text in zip(rows["item_id"], rows["text"], strict=True):
-            found = np.unique(shingle_hashes(text if isinstance(text, str) else None))
-            if item is None or item != item or not len(found):
-                continue
-            if len(found) <= FEW:
-                out.append((item, EXACT, _key(EXACT, 0, found).tolist(), found.view(np.int64)))
-                continue
+def _place(keys: np.ndarray, k: int, log: int) -> np.ndarray:
+    """One of the bits, of 2 to the power of ``log``, that stand for each key."""
+    return keys.view(np.uint64) * np.uint64(_PLACES[k]) >> np.uint64(64 - log)
+
+
+class KeyFilter:
+    """A Bloom filter of keys: may hold a key that isn't there, never lacks one."""
+
+    def __init__(self, log: int, words: np.ndarray) -> None:
+        self.log, self.words = log, words
+
+    def hits(self, keys: np.ndarray) -> np.ndarray:
+        """Where ``keys`` may be of the filter."""
+        at = np.arange(len(keys))
+        for k in range(len(_PLACES)):
+            place = _place(keys if k == 0 else keys[at], k, self.log)
+            has = self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)
+            at = at[has.astype(bool)]
+        return at
+
+
+def key_filter(keys: DataFrame) -> KeyFilter:
+    """Of a table's long column ``h``; made by a grouped sum of bits, and bounded in size."""
+    log = min(MOST_BITS, max(10, keys.count().bit_length() + KEY_BITS))
+
+    def places(h: pa.Array) -> pa.Array:
+        own = h.to_numpy(zero_copy_only=False)
+        each = np.stack([_place(own, k, log) for k in range(len(_PLACES))], axis=1).astype(np.int64).ravel()
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * len(_PLACES)), pa.array(each))
+
+    place = keys.select(F.explode(F.arrow_udf(places, "array<bigint>")("h")).alias("place"))
+    bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
+    found = place.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    words = np.zeros(1 << (log - 6), np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return KeyFilter(log, words)
+
+
+def _item(texts: pa.Array) -> pa.Array:
+    """Size class, keys and distinct shingles of each item; null for a text without words."""
+    rows = []
+    for text in strings(texts):
+        found = np.unique(shingle_hashes(text))
+        if not len(found):
+            rows.append(None)
+        elif len(found) <= FEW:
+            rows.append({"size": EXACT, "keys": _key(EXACT, 0, found), "shingles": found.view(np.int64)})
+        else:
             size = size_class(len(found))
-            keys = [int(_key(size, k, (found * np.uint64(m)).min(keepdims=True))[0]) for k, m in enumerate(_MULTIPLIERS)]
-            out.append((item, size, keys, found.view(np.int64)))
-        yield pd.DataFrame(out, columns=["item_id", "size", "keys", "shingles"])
+            keys = np.concatenate([_key(size, k, (found * np.uint64(m)).min(keepdims=True)) for k, m in enumerate(_MULTIPLIERS)])
+            rows.append({"size": size, "keys": keys, "shingles": found.view(np.int64)})
+    longs = pa.list_(pa.int64())
+    return pa.array(rows, pa.struct([("size", pa.int32()), ("keys", longs), ("shingles", longs)]))
 
 
-def _scan(sizes: list[int], keys: np.ndarray | None, shingles: np.ndarray | None, bitmap: np.ndarray) -> Callable:
-    """Emit candidate keys, and for documents that have one, the shingles to verify."""
+def _scan(sizes: list[int], keys: KeyFilter, shingles: KeyFilter) -> Callable[[pa.Array], pa.Array]:
+    """For texts: candidate keys, and if there are any, the shingles to verify; else null."""
 
     def windows(docs: list[tuple[int, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
         """(place of the document, keys) of every window whose minimum, or shingle that, may be an item's."""
@@ -101,16 +139,9 @@ def _scan(sizes: list[int], keys: np.ndarray | None, shingles: np.ndarray | None
             moved[at + by >= last] = top
             return moved
 
-        def met(found: np.ndarray) -> np.ndarray:
-            hit = np.flatnonzero(bitmap[(found.view(np.uint64) >> _TOP).astype(np.int64)])
-            if keys is not None and len(hit):
-                near = np.minimum(np.searchsorted(keys, found[hit]), len(keys) - 1)
-                hit = hit[keys[near] == found[hit]]
-            return hit
-
         if EXACT in sizes:
             found = _key(EXACT, 0, hashes)
-            if len(hit := met(found)):
+            if len(hit := keys.hits(found)):
                 yield np.searchsorted(ends, hit, "right"), found[hit]
         for k, m in enumerate(_MULTIPLIERS if max(sizes) > EXACT else []):
             one = np.minimum.reduceat(hashes * np.uint64(m), starts)
@@ -124,30 +155,24 @@ def _scan(sizes: list[int], keys: np.ndarray | None, shingles: np.ndarray | None
                     continue
                 whole = np.minimum(run, ahead(one, width))
                 found = _key(span, k, whole)
-                if len(hit := met(found)):
+                if len(hit := keys.hits(found)):
                     yield owner[hit], found[hit]
 
-    def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in slices(frames, "text", 4_000_000):
-            docs = [
-                (doc, h)
-                for doc, text in zip(rows["doc_id"], rows["text"], strict=True)
-                if doc == doc and doc is not None and len(h := shingle_hashes(text if isinstance(text, str) else None))
-            ]
-            if not docs:
-                continue
-            met = list(windows(docs))
-            if not met:
-                continue
-            pairs = pd.DataFrame({"at": np.concatenate([a for a, _ in met]), "h": np.concatenate([b for _, b in met])}).drop_duplicates()
-            ids = np.array([doc for doc, _ in docs], np.int64)
-            yield pd.DataFrame({"doc_id": ids[pairs["at"]], "kind": 0, "h": pairs["h"]})
-            for at in pairs["at"].unique():
-                h = np.unique(docs[at][1]).view(np.int64)
-                if shingles is not None:
-                    h = h[np.isin(h, shingles)]
-                if len(h):
-                    yield pd.DataFrame({"doc_id": ids[at], "kind": 1, "h": h})
+    def scan(texts: pa.Array) -> pa.Array:
+        out: list[dict | None] = []
+        for part in parts(texts, 4_000_000):
+            docs = [(at, h) for at, text in enumerate(part) if len(h := shingle_hashes(text))]
+            own: dict[int, set[int]] = {}
+            for at, found in windows(docs) if docs else ():
+                for i, key in zip(at.tolist(), found.tolist(), strict=True):
+                    own.setdefault(i, set()).add(key)
+            rows: list[dict | None] = [None] * len(part)
+            for i, found in own.items():
+                at, h = docs[i]
+                h = np.unique(h).view(np.int64)
+                rows[at] = {"keys": list(found), "shingles": h[shingles.hits(h)]}
+            out += rows
+        return pa.array(out, pa.struct([("keys", pa.list_(pa.int64())), ("shingles", pa.list_(pa.int64()))]))
 
     return scan
 
@@ -162,32 +187,23 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
     give no pair; rows with the same id are one document or item; other columns are not read.
     Empty input: no rows.
     """
-    items = stored(
-        benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-            _items, "item_id long, size int, keys array<long>, shingles array<long>"
-        )
-    )
+    shape = "size int, keys array<bigint>, shingles array<bigint>"
+    each = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.arrow_udf(_item, shape).asNondeterministic()(F.col("text").cast("string")).alias("x"))
+    items = stored(each.where("item_id is not null and x is not null").select("item_id", "x.*"))
     probes = items.select("item_id", F.explode("keys").alias("h")).distinct()
-    parts = items.select("item_id", F.explode("shingles").alias("h")).distinct()
+    shingles = items.select("item_id", F.explode("shingles").alias("h")).distinct()
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # powers of two: a few dozen at most
-    bits = probes.select(F.shiftrightunsigned("h", 64 - BITMAP_BITS).cast("int").alias("bit")).distinct().toPandas()["bit"]
-    bitmap = np.zeros(1 << BITMAP_BITS, bool)
-    bitmap[bits.to_numpy(np.int64)] = True
-
-    def sent(table: DataFrame) -> np.ndarray | None:
-        values = table.select("h").distinct()
-        return np.sort(values.toPandas()["h"].to_numpy(np.int64)) if values.count() <= MAX_SENT_KEYS else None
-
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     if not sizes:
         plain = plain.limit(0)
-    scan = _scan(sizes or [BLOCK], sent(probes), sent(parts), bitmap) if sizes else _scan([BLOCK], None, None, bitmap)
-    found = stored(plain.mapInPandas(scan, "doc_id long, kind int, h long"))
-    candidates = found.where("kind = 0").join(probes, "h").select("doc_id", "item_id").distinct()
+    scan = _scan(sizes or [BLOCK], key_filter(probes.select("h").distinct()), key_filter(shingles.select("h").distinct()))
+    met = plain.select("doc_id", F.arrow_udf(scan, "keys array<bigint>, shingles array<bigint>").asNondeterministic()("text").alias("x"))
+    found = stored(met.where("x is not null").select("doc_id", "x.*"))
+    candidates = found.select("doc_id", F.explode("keys").alias("h")).join(probes, "h").select("doc_id", "item_id").distinct()
     overlap = (
-        found.where("kind = 1").select("doc_id", "h").distinct().join(parts, "h").groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared"))
+        found.select("doc_id", F.explode("shingles").alias("h")).distinct().join(shingles, "h").groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared"))
     )
-    totals = parts.groupBy("item_id").agg(F.count("*").alias("n_shingles"))
+    totals = shingles.groupBy("item_id").agg(F.count("*").alias("n_shingles"))
     return (
         overlap.join(candidates, ["doc_id", "item_id"])
         .join(totals, "item_id")
@@ -198,6 +214,11 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, threshold: float = TH
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without the documents that contain a test item; rows without an id stay."""
-    bad = cut(contained_items(docs, benchmark, threshold).select("doc_id").distinct())
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the documents that contain a test item.
+
+    All rows with such an id go, since rows with one id are one document; rows without an id stay.
+    All columns pass unchanged, whatever their names. Empty tables: nothing goes.
+    """
+    own = unused(docs.columns)
+    bad = cut(contained_items(docs, benchmark, threshold).select(F.col("doc_id").alias(own)).distinct())
+    return docs.join(bad, F.col("doc_id").cast("long") == F.col(own), "left_anti").select(*docs.columns)

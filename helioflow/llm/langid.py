@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioflow.llm.common import held_out, slices, within_share
+from helioflow.llm.common import held_out, parts, slices, unused, within_share
 
 #: About so many documents of each language are learnt from, picked by a hash of their id.
 TRAIN_DOCS = 1_500
@@ -25,7 +25,13 @@ BUCKETS = 1 << 15
 PENALTY = 8.0
 #: A script belongs to a language if at least this share of the language's letters are in it.
 SCRIPT_SHARE = 0.02
+#: The languages with the most documents that are learnt, if there are more.
+MAX_LANGS = 250
 UNKNOWN = "und"
+#: A document's language is known if at least this share of its letters are in it.
+LEAST_SHARE = 0.4
+#: No letter has a code point from here on.
+CODES = 0x33000
 #: First code points of Unicode ranges (fixed values), and the script of each range.
 SCRIPT_STARTS = [
     0x0, 0x250, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0x980, 0xA00, 0xA80, 0xB00, 0xB80, 0xC00, 0xC80, 0xD00, 0xD80, 0xE00,
@@ -45,10 +51,10 @@ _tables: dict[str, np.ndarray] = {}
 def _lookup() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """By code point: whether it is a letter, its lower case (of one code point), its script."""
     if not _tables:
-        every = [chr(c) for c in range(0x30000)]
+        every = [chr(c) for c in range(CODES)]
         _tables["letter"] = np.array([c.isalpha() for c in every])
         _tables["lower"] = np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in every], np.uint32)
-        ranges = np.searchsorted(SCRIPT_STARTS, np.arange(0x30000), "right") - 1
+        ranges = np.searchsorted(SCRIPT_STARTS, np.arange(CODES), "right") - 1
         _tables["script"] = np.array([SCRIPT_NAMES.index(s) for s in SCRIPTS], np.uint8)[ranges]
     return _tables["letter"], _tables["lower"], _tables["script"]
 
@@ -69,7 +75,7 @@ class Words:
 def words_of(texts: list[str]) -> Words:
     letter, lower, script = _lookup()
     joined = "\n".join(texts) + "\n"
-    points = np.minimum(np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32), 0x2FFFF)
+    points = np.minimum(np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32), CODES - 1)
     is_letter = letter[points]
     chars = np.where(is_letter, lower[points], 0).astype(np.uint32)
     at = np.flatnonzero(is_letter)
@@ -98,12 +104,13 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     sample is taken where the texts are read, so that no text is shuffled.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).where(~held_out("doc_id", 4))
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    most = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    sizes = {r["lang"]: r["n"] for r in most.collect()}
     shares = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, train_docs / n))))
     share = shares[F.col("lang")] if sizes else F.lit(0.0)
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in slices(frames, "text", 4_000_000):
+        for rows in slices(frames, "text", 1_000_000):
             for lang, own in rows.groupby("lang"):
                 words = words_of(own["text"].tolist())
                 for kind, n in (("gram", np.bincount(words.letters, minlength=BUCKETS)), ("script", np.bincount(words.script, words.size))):
@@ -190,39 +197,41 @@ def language_spans(docs: DataFrame, model: Model) -> DataFrame:
     not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
 
-    def labelled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in slices(frames, "text", 4_000_000):
-            found = predict(shared.value, [t if isinstance(t, str) else None for t in rows["text"]])
-            yield pd.DataFrame({
-                "doc_id": rows["doc_id"].to_numpy(),
-                "lang_pred": [x[0] for x in found],
-                "score": [x[1] for x in found],
-                "spans": [[{"start": a, "end": b, "lang": lang} for a, b, lang in x[2]] for x in found],
-            }).astype({"doc_id": "Int64"})
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        labelled, "doc_id long, lang_pred string, score double, spans array<struct<start:long,end:long,lang:string>>"
-    )
+    def labelled(texts: pa.Array) -> pa.Array:
+        found = [x for part in parts(texts) for x in predict(shared.value, part)]
+        spans = [[{"start": a, "end": b, "lang": lang} for a, b, lang in x[2]] for x in found]
+        columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array(spans, pa.list_(span))]
+        return pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "spans"])
+
+    # Not to be run again for each field that is read.
+    label = F.arrow_udf(labelled, "lang_pred string, score double, spans array<struct<start:bigint,end:bigint,lang:string>>").asNondeterministic()
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), label(F.col("text").cast("string")).alias("found"))
+    return found.select("doc_id", "found.*")
 
 
-def known_language(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without the rows that have no language: null texts and texts without letters.
+def known_language(docs: DataFrame, model: Model, least_share: float = LEAST_SHARE) -> DataFrame:
+    """``docs`` without the rows that have no language, and with ``lang`` set where it was null.
 
-    Each row is judged by its own text; all columns pass unchanged and nothing is shuffled.
+    A row stays if at least ``least_share`` of its letters are in one language; null texts and
+    texts without letters go. If there was nothing to learn from, all texts with a letter stay and
+    ``lang`` is left alone. Each row is judged by its own text, repeated rows alike; all other
+    columns pass unchanged, whatever their names. Empty input: no rows. Nothing is shuffled.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            mask: list[bool] = []
-            while len(mask) < len(texts):
-                part, chars = [], 0
-                while len(mask) + len(part) < len(texts) and (not part or chars < 4_000_000):
-                    part.append(texts[len(mask) + len(part)])
-                    chars += len(part[-1] or "")
-                mask += [x[0] != UNKNOWN for x in predict(shared.value, part)]
-            yield batch.filter(pa.array(mask, pa.bool_()))
-
-    return docs.mapInArrow(kept, docs.schema)
+    def judged(texts: pa.Array) -> pa.Array:
+        langs: list[str | None] = []
+        for part in parts(texts):
+            if shared.value.langs:
+                langs += [lang if lang != UNKNOWN and share >= least_share else None for lang, share, _ in predict(shared.value, part)]
+            else:
+                letters = np.bincount((words := words_of([t or "" for t in part])).doc, words.size, len(part))
+                langs += [UNKNOWN if n else None for n in letters]
+        return pa.array(langs, pa.string())
+
+    own = unused(docs.columns)
+    found = docs.withColumn(own, F.arrow_udf(judged, "string").asNondeterministic()(F.col("text").cast("string"))).where(F.col(own).isNotNull())
+    lang = F.coalesce(F.col("lang"), F.when(F.col(own) != UNKNOWN, F.col(own)))
+    return found.withColumn("lang", lang).drop(own)

@@ -18,16 +18,15 @@ bucket of n fingerprints gives n edges, not n squared.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations, repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helioflow.llm.common import cut, slices
+from helioflow.llm.common import cut, strings, unused
 from helioflow.llm.components import connected_components
 
 RADIUS = 3
@@ -52,17 +51,18 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(total * 2 > n, bitorder="little").tobytes(), "little")
 
 
-def _fingerprints(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for rows in slices(frames, "text", 8_000_000):
-        found = np.fromiter(map(fingerprint, rows["text"].where(rows["text"].notna(), None)), np.uint64, len(rows))
-        yield rows.drop(columns="text").assign(fp=found.view(np.int64))
+def _fingerprint(text: Column) -> Column:
+    """The 64 bits as a signed long; only the text goes through Python."""
+
+    def found(texts: pa.Array) -> pa.Array:
+        return pa.array(np.fromiter(map(fingerprint, strings(texts)), np.uint64, len(texts)).view(np.int64))
+
+    return F.arrow_udf(found, "long")(text.cast("string"))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long), a row for each row of ``docs``."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        _fingerprints, "doc_id long, fp long"
-    )
+    """``doc_id, fp``, a row for each row of ``docs``."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), _fingerprint(F.col("text")).alias("fp"))
 
 
 def _signed(mask: int) -> int:
@@ -129,12 +129,11 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     any id, keep the row with the smallest hash of its text; rows equal in both are copies of which
     one stays. All columns pass unchanged.
     """
-    names, own = docs.columns, ["__none", "__id", "__t"]
-    number, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    # Pandas would make floats of ids with nulls among them.
-    marks = {"__none": number.isNull(), "__id": F.coalesce(number, F.lit(0)), "__t": F.xxhash64(text)}
-    marked = docs.withColumns(marks)
-    prints = cut(marked.select(*own, text.alias("text")).mapInPandas(_fingerprints, "__none boolean, __id long, __t long, fp long"))
+    names = docs.columns
+    none, number, hashed = own = [unused(names, like) for like in ("none", "number", "hashed")]
+    ids, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    marked = docs.withColumns({none: ids.isNull(), number: F.coalesce(ids, F.lit(0)), hashed: F.xxhash64(text)})
+    prints = cut(marked.select(*own, _fingerprint(text).alias("fp")))
     first = cut(prints.groupBy("fp").agg(F.min(F.struct(*own)).alias("first")))
     kept = cut(_rooted(first).groupBy("root").agg(F.min("first").alias("first")).select("first.*"))
     repeated = cut(prints.groupBy(*own).count().where("count > 1").select(*own).join(kept, own, "left_semi"))

@@ -17,10 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helioflow.llm.common import slices, stored, within_share
+from helioflow.llm.common import parts, stored, within_share
 
 #: The classifiers are fit on about so many labelled documents, picked by a hash of their id.
 LABEL_SAMPLE = 8_000
@@ -137,12 +138,15 @@ def evidence(docs: DataFrame, model: Classifier) -> DataFrame:
     """``doc_id, host, path, good, toxic`` for every row that has ``doc_id, host, path, text``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scored(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in slices(frames, "text", 4_000_000):
-            p = shared.value.chances([t if isinstance(t, str) else "" for t in rows["text"]])
-            yield rows[["doc_id", "host", "path"]].assign(good=p[:, 0], toxic=p[:, 1]).astype({"doc_id": "Int64"})
+    def scored(texts: pa.Array) -> pa.Array:
+        found = [shared.value.chances([t or "" for t in part]) for part in parts(texts)]
+        p = np.concatenate(found) if found else np.zeros((0, len(TARGETS)))
+        return pa.StructArray.from_arrays([pa.array(p[:, k]) for k in range(len(TARGETS))], names=list(TARGETS))
 
-    return docs.select("doc_id", "host", "path", "text").mapInPandas(scored, "doc_id long, host string, path string, good double, toxic double")
+    # Not to be run again for each field that is read.
+    chances = F.arrow_udf(scored, "good double, toxic double").asNondeterministic()
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(F.col(c).cast("string").alias(c) for c in ("host", "path")), chances(F.col("text").cast("string")).alias("p"))
+    return found.select("doc_id", "host", "path", "p.good", "p.toxic")
 
 
 def _strength(groups: DataFrame, n: str, total: str, mean: str | float) -> float:
