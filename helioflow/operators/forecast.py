@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helioflow.functions.columns import epoch_minutes, is_number
+from helioflow.functions.tables import require_none
 
 NATION = 0
 MIN_DAY_ELEVATION = 0.0
@@ -101,30 +102,72 @@ def peak_forecast(forecast: DataFrame) -> DataFrame:
     return own.groupBy("model", "init_time", "location_id").agg(F.max("value").alias("peak"))
 
 
-def postprocess(scores: DataFrame, quantiles: list[float], capacity: DataFrame) -> DataFrame:
+def forecast_part(axis: Column, n: int) -> Column:
+    """The last ``n`` entries of an array over history and forecast: the forecast's own."""
+    return F.slice(axis, -n, n)
+
+
+def postprocess(
+    scores: DataFrame, quantiles: list[float], capacity: DataFrame, nation_capacity: float | None = None, nation: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Scores of all locations to megawatts for locations and nation.
 
     ``scores`` has the keys, ``elevation`` and an array of fractions for each target time. Labels,
-    clipping and the sundown mask come first; the nation is the sum, masked where all are dark.
+    clipping and the sundown mask come first. The nation is the sum of the locations; with ``nation``, a
+    model of the locations' raw fractions (``KEYS``, ``location_id``, ``value``, ``relative`` for the share of
+    ``nation_capacity``) that returns fractions by ``KEYS``, it is clipped and masked likewise. It is dark
+    where all locations are. With ``nation_capacity``, fractions come along under their own labels.
     """
     rows = quantile_labels(scores, quantiles).withColumn("dark", is_dark(F.col("elevation")))
     masked = rows.withColumn("value", mask_sundown(clip_negative(F.col("value")), F.col("dark")))
-    regional = to_absolute(masked, capacity)
-    summed = regional.groupBy(*KEYS).agg(F.sum("value").alias("value"), F.bool_and("dark").alias("dark"))
-    nation = summed.withColumn("value", mask_sundown(F.col("value"), F.col("dark"))).withColumn("location_id", F.lit(NATION).cast("long"))
+    regional = to_absolute(masked.withColumn("fraction", F.col("value")), capacity)
+    dark = F.bool_and("dark").alias("dark")
+    if nation is None:
+        total = regional.groupBy(*KEYS).agg(F.sum("value").alias("value"), dark).withColumn("value", mask_sundown(F.col("value"), F.col("dark")))
+        total = total.withColumn("fraction", F.col("value") / nation_capacity if nation_capacity else F.lit(None).cast("double"))
+    else:
+        raw = rows.join(capacity.withColumn("relative", F.col("capacity") / nation_capacity), "location_id")
+        predicted = nation(raw.select(*KEYS, "location_id", "value", "relative")).join(rows.groupBy(*KEYS).agg(dark), KEYS)
+        total = predicted.withColumn("fraction", mask_sundown(clip_negative(F.col("value")), F.col("dark"))).withColumn("value", F.col("fraction") * nation_capacity)
     names = [*KEYS, "location_id", "value"]
-    return nation.select(*names).unionByName(regional.select(*names))
+    if nation_capacity:
+        names += ["fraction", "fraction_label"]
+    both = total.withColumn("location_id", F.lit(NATION).cast("long")).select(*KEYS, "location_id", "value", "fraction").unionByName(
+        regional.select(*KEYS, "location_id", "value", "fraction")
+    )
+    return both.withColumn("fraction_label", fraction_label(F.col("output_label"))).select(*names)
+
+
+def relative_capacities(capacity: DataFrame, group: str) -> DataFrame:
+    """Each location's share of its group's capacity; locations without a capacity are left out."""
+    known = capacity.where("capacity is not null")
+    total = known.groupBy(group).agg(F.sum(F.col("capacity").cast("decimal(18,2)")).cast("double").alias("total"))
+    return known.join(total, group).select("location_id", (F.col("capacity") / F.col("total")).alias("relative"))
+
+
+def weighted_sum(raw: DataFrame) -> DataFrame:
+    """The simplest nation model: the locations' fractions, weighed by their share of the capacity."""
+    return raw.groupBy(*KEYS).agg(F.sum(F.col("value") * F.col("relative")).alias("value"))
 
 
 def horizon_minutes(init: Column, target: Column) -> Column:
     return (epoch_minutes(target) - epoch_minutes(init)).cast("int")
 
 
-def select_levels(forecast: DataFrame) -> DataFrame:
-    """The forecast and the levels that are saved: more of them for the nation."""
+def select_levels(forecast: DataFrame, required: bool = False) -> DataFrame:
+    """The forecast and the levels that are saved: more of them for the nation.
+
+    With ``required`` it fails, naming them, if a forecast lacks one of its levels.
+    """
     level = F.concat(F.lit("p"), F.substring_index("output_label", "_", -1))
     wanted = F.when(F.col("location_id") == NATION, level.isin(NATION_LEVELS)).otherwise(level.isin(LOCATION_LEVELS))
-    return forecast.withColumn("level", F.when(F.col("output_label") == "forecast_mw", "p50").otherwise(level)).where((F.col("level") == "p50") | wanted)
+    kept = forecast.withColumn("level", F.when(F.col("output_label") == "forecast_mw", "p50").otherwise(level)).where((F.col("level") == "p50") | wanted)
+    if required:
+        all_levels = F.when(F.col("location_id") == NATION, F.lit(["p50", *NATION_LEVELS])).otherwise(F.lit(["p50", *LOCATION_LEVELS]))
+        keys = ["model", "init_time", "location_id"]
+        missing = kept.groupBy(*keys).agg(F.collect_set("level").alias("have")).select(*keys, F.array_except(all_levels, "have").alias("missing"))
+        require_none(missing.where(F.size("missing") > 0), "forecasts without a level")
+    return kept
 
 
 def clamp_levels(levels: Column) -> Column:

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioflow.functions.columns import is_number, lonlat_of_laea, plus_minutes, to_float16
+from helioflow.functions.tables import require_none, small
 
 
 def rename_variables(grid: DataFrame, names: DataFrame) -> DataFrame:
-    """Rename by (provider, variable) -> new; unknown names pass through."""
-    return grid.join(names, ["provider", "variable"], "left").withColumn("variable", F.coalesce("new", "variable")).drop("new")
+    """Rename by (provider, variable) -> new; unknown names pass through. The grid is not shuffled."""
+    return grid.join(small(names), ["provider", "variable"], "left").withColumn("variable", F.coalesce("new", "variable")).drop("new")
 
 
 def with_valid_time(grid: DataFrame) -> DataFrame:
@@ -29,12 +30,12 @@ def spatial_filter(grid: DataFrame, x0: float, x1: float, y0: float, y1: float)
 
 
 def select_channels(grid: DataFrame, channels: DataFrame) -> DataFrame:
-    return grid.join(channels.select("provider", "variable").distinct(), ["provider", "variable"], "left_semi")
+    return grid.join(small(channels.select("provider", "variable").distinct()), ["provider", "variable"], "left_semi")
 
 
 def normalise(grid: DataFrame, constants: DataFrame) -> DataFrame:
     """(value - mean) / std by variable."""
-    return grid.join(constants, "variable").withColumn("value", (F.col("value") - F.col("mean")) / F.col("std")).drop("mean", "std")
+    return grid.join(small(constants), "variable").withColumn("value", (F.col("value") - F.col("mean")) / F.col("std")).drop("mean", "std")
 
 
 def value_fraction(grid: DataFrame, keys: list[str], hit: Column) -> DataFrame:
@@ -61,6 +62,11 @@ def has_nan(grid: DataFrame, keys: list[str]) -> DataFrame:
     return grid.groupBy(*keys).agg(F.bool_or(~is_number(F.col("value"))).alias("has_nan"))
 
 
+def require_not_zero(grid: DataFrame, keys: list[str], what: str = "all values are zero") -> None:
+    """Fail, naming them, if some keys have nothing but zeros."""
+    require_none(all_zero(grid, keys).where("all_zero").select(*keys), what)
+
+
 def all_zero(grid: DataFrame, keys: list[str]) -> DataFrame:
     """NaN and null are not zero."""
     return grid.groupBy(*keys).agg(F.bool_and(F.coalesce(F.col("value") == 0, F.lit(False))).alias("all_zero"))
@@ -106,6 +112,21 @@ def regrid(grid: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
     return summed.agg(F.sum(F.col("w") * F.col("value")).alias("value"))
 
 
+def same_coordinates(targets: DataFrame, height: int, width: int) -> bool:
+    """Whether the targets are the grid's own cells, in any order: then there is nothing to regrid."""
+    own = (F.col("ty") == F.rint("ty")) & (F.col("tx") == F.rint("tx")) & F.col("ty").between(0, height - 1) & F.col("tx").between(0, width - 1)
+    n, on_cells, distinct = targets.agg(F.count("*"), F.count_if(own), F.count_distinct("ty", "tx")).first()
+    return n == on_cells == distinct == height * width
+
+
+def regrid_unless_same(grid: DataFrame, targets: DataFrame, height: int, width: int, keys: list[str]) -> DataFrame:
+    """``regrid`` to the targets by bilinear weights; values are only renamed if coordinates are equal."""
+    if same_coordinates(targets, height, width):
+        cells = small(targets.select("target_id", F.col("ty").cast("long").alias("y"), F.col("tx").cast("long").alias("x")))
+        return grid.join(cells, ["y", "x"]).select(*keys, "target_id", "value")
+    return regrid(grid, bilinear_weights(targets, height, width), keys)
+
+
 def diff_accumulated(grid: DataFrame, keys: list[str], step: str) -> DataFrame:
     """The next step's value less this one's; the last step has none."""
     ahead = F.lead("value").over(Window.partitionBy(*keys).orderBy(step))
@@ -118,7 +139,59 @@ def lonlat_lookup(cells: DataFrame) -> DataFrame:
     return cells.select("x", "y").distinct().select("x", "y", lon.alias("lon"), lat.alias("lat"))
 
 
+def time_slices(cells: DataFrame, t0s: DataFrame, before: int, after: int) -> DataFrame:
+    """Cells of the steps from ``before`` steps ahead of each t0 to ``after`` steps past it, both included.
+
+    ``step`` and ``t0`` are whole numbers. Each step names the t0 that read it, so that the join is one of
+    equality and the work follows the slices.
+    """
+    offsets = F.sequence(F.lit(-after), F.lit(before))
+    asked = cells.withColumn("t0", F.explode(F.transform(offsets, lambda k: F.col("step") + k)))
+    return asked.join(t0s, "t0").withColumn("place", F.col("step") - F.col("t0"))
+
+
 def assemble_features(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """One array for each key, of the cells' values in (step, y, x) order."""
+    """One array for each key, of the cells' values in (step, y, x) order.
+
+    Keys must name one sample, such as (model, t0, location, variable): an array is as long as its sample.
+    """
     rows = F.array_sort(F.collect_list(F.struct("step", "y", "x", "value")))
     return cells.groupBy(*keys).agg(F.transform(rows, lambda r: r["value"]).alias("values"))
+
+
+def sample_features(
+    grid: DataFrame, samples: DataFrame, locations: DataFrame, constants: DataFrame, window: tuple[int, int], steps: tuple[int, int],
+    accumulated: list[int] | None = None, tile: int = 4,
+) -> DataFrame:
+    """Features of each (model, t0, location, variable): the slice of time, cropped, differenced and normalised.
+
+    ``grid`` has ``variable, step, y, x, value``; ``samples`` ``model, t0``; ``window`` is the height and width
+    around each location; ``steps`` how many steps before and after t0. Accumulated variables become the
+    next step's value less this one's before the slice, so their last step is absent.
+    """
+    rows = grid
+    if accumulated:
+        summed = F.col("variable").isin(accumulated)
+        ahead = F.lead("value").over(Window.partitionBy("variable", "y", "x").orderBy("step"))
+        diffed = grid.where(summed).withColumn("value", ahead - F.col("value")).where(F.col("value").isNotNull())
+        rows = grid.where(~summed).unionByName(diffed)
+    near = window_cells(normalise(rows, constants), locations, *window, tile)
+    return assemble_features(time_slices(near, samples, *steps), ["model", "t0", "location_id", "variable"])
+
+
+def prepare_nwp(
+    grid: DataFrame, names: DataFrame, targets: DataFrame | None, height: int, width: int, half: bool = True, projected: bool = False
+) -> DataFrame:
+    """One provider's frames, checked and made ready: frames with NaN go, variables are renamed, cells get
+    longitude and latitude where the grid is in metres, or are regridded to targets, values are rounded to half precision.
+
+    ``grid`` has ``provider, frame, variable, y, x, value``. Returns the keys and the value; with
+    ``projected`` also ``lon, lat``. To be saved by ``store.write_grid``.
+    """
+    bad = has_nan(grid, ["provider", "frame"]).where("has_nan").select("provider", "frame")
+    rows = rename_variables(grid.join(bad, ["provider", "frame"], "left_anti"), names)
+    if targets is not None:
+        rows = regrid_unless_same(rows, targets, height, width, ["provider", "frame", "variable"])
+    elif projected:
+        rows = rows.join(small(lonlat_lookup(rows), 1_000_000), ["x", "y"])
+    return half_precision(rows) if half else rows

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioflow.functions.columns import ceil_minutes, epoch_minutes, plus_minutes, time_range
+from helioflow.functions.tables import require_none
 
 
 def source_times(grid: DataFrame) -> DataFrame:
@@ -24,8 +25,13 @@ def demanded(grid: DataFrame, model_inputs: DataFrame) -> DataFrame:
     return grid.join(model_inputs.select("provider").distinct(), "provider", "left_semi")
 
 
-def choose_freshest(times: DataFrame) -> DataFrame:
-    """For each t0 the cadence with the newest frame; the shorter cadence wins a tie."""
+def choose_freshest(times: DataFrame, t0s: DataFrame | None = None) -> DataFrame:
+    """For each t0 the cadence with the newest frame; the shorter cadence wins a tie.
+
+    With ``t0s``, all t0 that must have a source, it fails if one has neither.
+    """
+    if t0s is not None:
+        require_none(t0s.select("t0").join(times.select("t0"), "t0", "left_anti"), "no satellite source for t0")
     newest = times.groupBy("t0", "cadence").agg(F.max("time").alias("newest"))
     rank = F.row_number().over(Window.partitionBy("t0").orderBy(F.desc("newest"), "cadence"))
     return newest.withColumn("rank", rank).where("rank = 1").drop("rank")
@@ -122,21 +128,38 @@ def available(needs: DataFrame, times: DataFrame, on: list[str]) -> DataFrame:
     return counted.withColumn("ok", F.col("n_missing") == 0)
 
 
-def runnable(*checks: DataFrame) -> DataFrame:
-    """A model runs if every check that covers it holds."""
+def runnable(*checks: DataFrame, required: bool = False) -> DataFrame:
+    """A model runs if every check that covers it holds.
+
+    With ``required`` it fails if there is a t0 for which no model can run.
+    """
     both = checks[0].select("model", "t0", "ok")
     for check in checks[1:]:
         both = both.unionByName(check.select("model", "t0", "ok"))
-    return both.groupBy("model", "t0").agg(F.bool_and("ok").alias("runnable"))
+    found = both.groupBy("model", "t0").agg(F.bool_and("ok").alias("runnable"))
+    if required:
+        require_none(found.groupBy("t0").agg(F.bool_or("runnable").alias("any")).where("not any").select("t0"), "no model can run for t0")
+    return found
 
 
-def latest_init_asof(t0s: DataFrame, inits: DataFrame, bucket: int, back: int) -> DataFrame:
-    """For each t0 the newest init not after it, at most ``back`` buckets (of minutes) old.
+def latest_init_asof(t0s: DataFrame, inits: DataFrame, keys: list[str] | None = None, max_staleness: int | None = None, bucket: int = 1440) -> DataFrame:
+    """For each row of ``t0s`` the newest init of its keys not after its t0 (null: none).
 
-    A range join by buckets: each t0 looks into its own bucket and those before.
+    ``max_staleness``: an init older than so many minutes counts as none; by default there is no limit. Both
+    tables are sorted together within buckets of time; what a bucket starts with is the last init of
+    all buckets before it, from a table of one row a bucket. The work is linear in the rows.
     """
+    keys = keys or []
     place = lambda c: F.floor(epoch_minutes(F.col(c)) / bucket)
-    newest = inits.withColumn("bucket", place("init_time"))
-    asks = t0s.withColumn("bucket", F.explode(F.sequence(place("t0") - back, place("t0"))))
-    met = asks.join(newest, "bucket").where("init_time <= t0").groupBy("t0").agg(F.max("init_time").alias("init_time"))
-    return t0s.join(met, "t0", "left")
+    asks = t0s.select(*keys, "t0").distinct().select(*keys, place("t0").alias("bucket"), F.col("t0").alias("at"), F.lit(None).cast("timestamp").alias("init"))
+    given = inits.select(*keys, place("init_time").alias("bucket"), F.col("init_time").alias("at"), F.col("init_time").alias("init"))
+    both = asks.unionByName(given)
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*keys, "bucket").orderBy("at", F.col("init").isNull()).rowsBetween(*so_far)
+    ends = both.groupBy(*keys, "bucket").agg(F.max("init").alias("own"))
+    carried = ends.withColumn("carried", F.max("own").over(Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).drop("own")
+    seen = both.withColumn("own", F.max("init").over(inside)).where("init is null").join(carried, [*keys, "bucket"])
+    init = F.coalesce("own", "carried")
+    if max_staleness is not None:
+        init = F.when(epoch_minutes(F.col("at")) - epoch_minutes(init) <= max_staleness, init)
+    return t0s.join(seen.select(*keys, F.col("at").alias("t0"), init.alias("init_time")), [*keys, "t0"], "left")

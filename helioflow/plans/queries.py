@@ -6,12 +6,14 @@ Times are shown as text, so that engines agree on them; whole numbers are long.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioflow.functions.columns import floor_minutes, plus_minutes
-from helioflow.operators import adjust, grid as g, timeline as t, validate as v
+from helioflow.operators import adjust, grid as g, satellite, timeline as t, validate as v
 from helioflow.operators import forecast as f
 from helioflow.plans import views
 from helioflow.plans.views import table, with_views
@@ -49,8 +51,10 @@ def text(column: str) -> str:
 
 
 def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A small configuration table."""
-    return spark.createDataFrame(rows, schema)
+    """A small configuration table, made from Arrow so that Spark knows its size."""
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_()}
+    fields = [(name, kinds[kind]) for name, kind in (field.split() for field in schema.split(", "))]
+    return spark.createDataFrame(pa.table([pa.array(column, kind) for column, (_, kind) in zip(zip(*rows, strict=True), fields, strict=True)], names=[n for n, _ in fields]))
 
 
 def values_sql(rows: list[tuple], columns: str) -> str:
@@ -113,12 +117,14 @@ def choose_freshest_source(spark, sf_dir):
 
 
 @query(
-    """>steps as (select provider, date_diff('minute', lag(time) over (partition by provider order by time), time) as step from provider_frames)
-    select provider, count(*) as n_steps, max(step) as longest, bool_and(step in (5, 10, 15, 20)) as regular from steps where step is not null group by 1""",
+    f""">h as (select provider, time_bucket(interval '6 hours', time) as part, time from provider_frames),
+    steps as (select provider, part, date_diff('minute', lag(time) over (partition by provider, part order by time), time) as step from h)
+    select provider, {text("part")}, count(*) as n_steps, max(step) as longest, bool_and(step in (5, 10, 15, 20, 25, 30)) as regular from steps where step is not null group by provider, part""",
     "provider_frames",
 )
 def check_cadence(spark, sf_dir):
-    return t.check_cadence(views.provider_frames(spark, sf_dir), ["provider"], [5, 10, 15, 20])
+    parts = views.provider_frames(spark, sf_dir).withColumn("part", floor_minutes(F.col("time"), 360))
+    return t.check_cadence(parts, ["provider", "part"], [5, 10, 15, 20, 25, 30])
 
 
 @query(
@@ -167,7 +173,7 @@ def extend_with_nans(spark, sf_dir):
     return t.extension_times(frames.crossJoin(F.broadcast(t0)), ["provider"], "t0").withColumn("is_nan", F.lit(True))
 
 
-SATELLITE_MODELS = [("near", -60, -30, 0.0, 0), ("now", -30, 0, 0.0, 0), ("dropped", -30, 0, 1.0, -20)]
+SATELLITE_MODELS = [("near", -60, -30, 0.0, 0), ("now", -30, 0, 0.0, 0), ("dropped", -30, 0, 1.0, -20), ("one", -5, -5, 0.0, 0)]
 NWP_MODELS = [("near", "click", -60, 120, False), ("near", "view", -120, 60, True), ("long", "signup", -120, 480, True), ("now", "error", 0, 30, False)]
 
 
@@ -233,7 +239,7 @@ def missing_inputs(spark, sf_dir):
 )
 def latest_init_asof(spark, sf_dir):
     inits = views.events(spark, sf_dir).where("event_type = 'purchase'").select(plus_minutes(floor_minutes(F.col("ts"), 60), 17).alias("init_time")).distinct()
-    return t.latest_init_asof(_t0s(spark, sf_dir), inits, 1440, 2)
+    return t.latest_init_asof(_t0s(spark, sf_dir), inits)
 
 
 # --- grids ---------------------------------------------------------------------------------------
@@ -306,13 +312,17 @@ def spatial_filter(spark, sf_dir):
     return g.spatial_filter(views.grid(spark, sf_dir), 5, 2, 1, 6)
 
 
+def _places(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("location_id"), (F.col("s_suppkey") % 7).alias("loc_y"), (F.expr("s_suppkey div 7") % 8).alias("loc_x"))
+
+
 def _windows(spark, sf_dir):
-    places = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("location_id"), (F.col("s_suppkey") % 7).alias("loc_y"), (F.expr("s_suppkey div 7") % 8).alias("loc_x"))
-    return g.window_cells(views.grid(spark, sf_dir).where("frame % 10 = 3"), places, 4, 3, 4)
+    places = _places(spark, sf_dir)
+    return g.window_cells(views.grid(spark, sf_dir), places, 4, 3, 4)
 
 
 _WINDOW_SQL = """>places as (select s_suppkey as location_id, s_suppkey % 7 as loc_y, s_suppkey // 7 % 8 as loc_x from supplier),
-    near as (select location_id, g.* from places join grid g on g.y between loc_y - 2 and loc_y + 1 and g.x between loc_x - 1 and loc_x + 1 where frame % 10 = 3)"""
+    near as (select location_id, g.* from places join grid g on g.y between loc_y - 2 and loc_y + 1 and g.x between loc_x - 1 and loc_x + 1)"""
 
 
 @query(f"{_WINDOW_SQL} select location_id, variable, count(*) as n_cells, min(value) as least, max(value) as largest, min(y * 8 + x) as first_cell, max(y * 8 + x) as last_cell from near group by 1, 2", "grid")
@@ -375,15 +385,18 @@ def nwp_all_zero(spark, sf_dir):
     return g.all_zero(views.grid(spark, sf_dir).withColumn("value", F.floor(F.abs("value") * 4).cast("double")), ["frame", "y"])
 
 
-_REGRID_SQL = """>targets as (select s_suppkey as target_id, s_suppkey % 29 / 4.0 as ty, s_suppkey % 23 / 3.2 as tx from supplier where s_suppkey < 60),
+_REGRID_SQL = """>targets as (select s_suppkey as target_id, s_suppkey % 29 / 4.0 as ty, s_suppkey % 23 / 3.2 as tx from supplier),
     base as (select *, least(floor(ty), 6) as y0, least(floor(tx), 6) as x0 from targets where ty between 0 and 7 and tx between 0 and 7),
     w as (select target_id, cast(y0 + dy as bigint) as y, cast(x0 + dx as bigint) as x, (case when dy = 1 then ty - y0 else 1 - (ty - y0) end) * (case when dx = 1 then tx - x0 else 1 - (tx - x0) end) as w
       from base cross join (values (0), (1)) as a(dy) cross join (values (0), (1)) as b(dx))"""
 
 
+def _targets(spark, sf_dir):
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("target_id"), (F.col("s_suppkey") % 29 / 4.0).alias("ty"), (F.col("s_suppkey") % 23 / 3.2).alias("tx"))
+
+
 def _regridded(spark, sf_dir):
-    targets = table(spark, sf_dir, "supplier").where("s_suppkey < 60").select(F.col("s_suppkey").alias("target_id"), (F.col("s_suppkey") % 29 / 4.0).alias("ty"), (F.col("s_suppkey") % 23 / 3.2).alias("tx"))
-    return g.regrid(views.grid(spark, sf_dir), g.bilinear_weights(targets, 8, 8), ["frame", "variable"])
+    return g.regrid_unless_same(views.grid(spark, sf_dir), _targets(spark, sf_dir), 8, 8, ["frame", "variable"])
 
 
 @query(f"{_REGRID_SQL} select frame, variable, target_id, round(sum(w.w * value), 7) as value from grid join w using (y, x) where w.w > 0 group by 1, 2, 3", "grid")
@@ -400,33 +413,87 @@ def diff_accumulated(spark, sf_dir):
     return g.diff_accumulated(views.grid(spark, sf_dir), ["variable", "y", "x"], "frame").select("variable", "y", "x", "frame", "value")
 
 
+_REPAIR_SQL = """with cells as (select distinct case event_type when 'click' then 5 else 15 end as cadence, time_bucket(to_minutes(case event_type when 'click' then 5 else 15 end), ts) as time
+      from events where event_type in ('click', 'view')),
+    t0s as (select distinct time_bucket(interval '3 hours', time) + interval '3 hours' as t0 from cells),
+    times as (select t0, cadence, time from cells join t0s on time > t0 - interval '3 hours' and time <= t0),
+    newest as (select t0, cadence, max(time) as newest from times group by 1, 2 qualify row_number() over (partition by t0 order by newest desc, cadence) = 1),
+    rows as (select t0, cadence, time, y, (date_part('hour', time) * 7 + date_part('minute', time) // 5 * 3 + y * y) % 11 % 4 as value from times join newest using (t0, cadence) cross join (select unnest(range(4)) as y)),
+    shares as (select t0, time, sum(case when value = 0 then 1 else 0 end) / 4 as share from rows group by 1, 2),
+    good as (select t0 from shares group by 1 having max(share) <= 0.5),
+    seen as (select distinct t0, cadence, time from rows where t0 in (select t0 from good)),
+    steps as (select *, lead(time) over (partition by t0 order by time) as after from seen),
+    gaps as (select *, date_diff('minute', time, after) // 5 - 1 as missing from steps where after is not null),
+    filled as (select t0, cadence, time as before, after, k * 5.0 / date_diff('minute', time, after) as weight, time + to_minutes(5 * k) as time from (select *, unnest(range(1, cast(missing as bigint) + 1)) as k from gaps where missing between 1 and 2)),
+    mixed as (select f.t0, f.cadence, f.time, a.y, a.value + (b.value - a.value) * weight as value from filled f join rows a on a.t0 = f.t0 and a.time = f.before join rows b on b.t0 = f.t0 and b.time = f.after and a.y = b.y),
+    ends as (select t0, cadence, max(time) as newest, count(*) as n_seen, min(time) as first_time from seen group by 1, 2),
+    done as (select t0, cadence, value, 'seen' as kind from rows where t0 in (select t0 from good) union all select t0, cadence, value, 'filled' from mixed
+      union all select t0, cadence, null, 'extended' from (select *, unnest(range(cast(date_diff('minute', newest, t0) // 5 as bigint))) as k from ends) cross join range(4))"""
+
+
+def _repaired(spark, sf_dir):
+    """Two cadences of cells from two kinds of event; t0 every three hours."""
+    ev = views.events(spark, sf_dir)
+    of = lambda kind, step: ev.where(F.col("event_type") == kind).select(F.lit(step).alias("cadence"), floor_minutes(F.col("ts"), step).alias("time"))
+    times = of("click", 5).unionByName(of("view", 15)).distinct()
+    t0s = times.select(plus_minutes(floor_minutes(F.col("time"), 180), 180).alias("t0")).distinct()
+    cells = times.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    value = (F.hour("time") * 7 + F.floor(F.minute("time") / 5) * 3 + F.col("y") * F.col("y")) % 11 % 4
+    return satellite.repair(cells.withColumn("value", value.cast("double")), t0s, [(F.col("value") == 0, 0.5)], ["y"])
+
+
 @query(
-    f"{_PLAN_SQL}, good as (select provider from provider_frames group by 1 having max(value) <= 480) select provider, count(*) as n_frames, sum(case when weight is null then 0 else 1 end) as n_filled, {text('max(time)').replace('as max(time)', 'as last_time')} from plan where provider in (select provider from good) group by 1",
-    "provider_frames",
+    f"""{_REPAIR_SQL} select strftime(t0, '{DAY}') as t0, cast(cadence as bigint) as cadence, sum(case when kind = 'seen' then 1 else 0 end)::bigint as n_seen, sum(case when kind = 'filled' then 1 else 0 end)::bigint as n_filled,
+    sum(case when kind = 'extended' then 1 else 0 end)::bigint as n_extended, round(sum(value), 6) as total from done group by 1, 2"""
 )
 def repair_satellite(spark, sf_dir):
-    """Quality gate, interpolation, and the times recorded before any extension."""
-    frames = views.provider_frames(spark, sf_dir)
-    good = frames.groupBy("provider").agg(F.max("value").alias("m")).where("m <= 480")
-    kept = frames.join(good, "provider", "left_semi")
-    done = t.interpolate(kept, t.gap_plan(kept, ["provider"]), ["provider"], [])
-    return done.groupBy("provider").agg(F.count("*").alias("n_frames"), F.count_if("filled").alias("n_filled"), F.max("time").alias("last_time"))
+    """The freshest cadence of each t0, checked, with gaps filled, extended to t0."""
+    rows, _ = _repaired(spark, sf_dir)
+    count = lambda kind: F.count_if(F.col("kind") == kind).alias(f"n_{kind}")
+    total = F.round(F.sum(F.when(F.col("kind") != "extended", F.col("value"))), 6).alias("total")
+    return rows.groupBy("t0", "cadence").agg(count("seen"), count("filled"), count("extended"), total)
 
 
 @query(
-    f"""{_REGRID_SQL}, good as (select frame from grid group by 1 having not bool_or(value > 0.37)), names as ({values_sql(NAMES[:2], "provider, variable, new")}),
-    r as (select frame, variable, target_id, sum(w.w * value) as v from grid join w using (y, x) where w.w > 0 and frame in (select frame from good) group by 1, 2, 3)
-    select frame, coalesce(new, r.variable) as variable, target_id, round(v, 7) as value from r left join names n on n.variable = r.variable""",
+    f"""{_REPAIR_SQL}, valid as (select t0, time from seen union all select t0, time from filled)
+    select strftime(t0, '{DAY}') as t0, count(*) as n_times, strftime(min(time), '{DAY}') as first_time, strftime(max(time), '{DAY}') as last_time from valid group by t0"""
+)
+def repaired_times(spark, sf_dir):
+    """The times that count for a model's inputs, from before the extension."""
+    _, valid = _repaired(spark, sf_dir)
+    return valid.select("t0", F.size("valid_times").alias("n_times"), F.array_min("valid_times").alias("first_time"), F.array_max("valid_times").alias("last_time"))
+
+
+_HALF_SQL = "case when v = 0 then v else round_even(v / pow(2.0, greatest(floor(log2(abs(v))), -14) - 10), 0) * pow(2.0, greatest(floor(log2(abs(v))), -14) - 10) end"
+
+
+@query(
+    f"""{_REGRID_SQL}, p as (select *, {_PROVIDER} from grid), good as (select frame from grid group by 1 having not bool_or(value > 0.37)), names as ({values_sql(NAMES, "provider, variable, new")}),
+    r as (select provider, frame, variable, target_id, round(sum(w.w * value), 7) as v from p join w using (y, x) where w.w > 0 and frame in (select frame from good) and provider = 'ecmwf' group by 1, 2, 3, 4)
+    select frame, coalesce(new, r.variable) as variable, target_id, v as value from r left join names n on n.variable = r.variable and n.provider = r.provider""",
     "grid",
 )
 def prepare_nwp(spark, sf_dir):
-    """NaN gate, rename, regrid."""
-    cells = views.grid(spark, sf_dir)
-    bad = g.has_nan(cells.withColumn("value", F.when(F.col("value") > 0.37, float("nan")).otherwise(F.col("value"))), ["frame"]).where("has_nan")
-    clean = cells.join(bad, "frame", "left_anti").withColumn("provider", F.lit("ecmwf"))
-    targets = table(spark, sf_dir, "supplier").where("s_suppkey < 60").select(F.col("s_suppkey").alias("target_id"), (F.col("s_suppkey") % 29 / 4.0).alias("ty"), (F.col("s_suppkey") % 23 / 3.2).alias("tx"))
-    renamed = g.rename_variables(clean, values(spark, NAMES[:2], "provider string, variable long, new long"))
-    return g.regrid(renamed, g.bilinear_weights(targets, 8, 8), ["frame", "variable"]).withColumn("value", F.round("value", 7))
+    """NaN gate, rename and regrid of the provider on a latitude and longitude grid."""
+    cells = _provider_grid(spark, sf_dir).where("provider = 'ecmwf'").withColumn("value", F.when(F.col("value") > 0.37, float("nan")).otherwise(F.col("value")))
+    done = g.prepare_nwp(cells, values(spark, NAMES, "provider string, variable long, new long"), _targets(spark, sf_dir), 8, 8, half=False)
+    return done.select("frame", "variable", "target_id", F.round("value", 7).alias("value"))
+
+
+@query(
+    f""">p as (select *, {_PROVIDER} from grid), good as (select frame from grid group by 1 having not bool_or(value > 0.37)), names as ({values_sql(NAMES, "provider, variable, new")}),
+    r as (select frame, coalesce(new, p.variable) as variable, y, x, value as v from p left join names n on n.variable = p.variable and n.provider = p.provider where p.provider = 'ukv' and frame in (select frame from good))
+    select frame, variable, y, x, {_HALF_SQL} as value, y = 0 and x = 0 as at_centre from r""",
+    "grid",
+)
+def prepare_projected_nwp(spark, sf_dir):
+    """The provider on a grid in metres: longitude and latitude beside each cell, half precision."""
+    from helioflow.functions.columns import LAT_0, LON_0
+
+    cells = _provider_grid(spark, sf_dir).where("provider = 'ukv'").withColumn("value", F.when(F.col("value") > 0.37, float("nan")).otherwise(F.col("value")))
+    done = g.prepare_nwp(cells, values(spark, NAMES, "provider string, variable long, new long"), None, 8, 8, projected=True)
+    at_centre = (F.abs(F.col("lon") - LON_0) < 1e-9) & (F.abs(F.col("lat") - LAT_0) < 1e-6)
+    return done.select("frame", "variable", "y", "x", "value", at_centre.alias("at_centre"))
 
 
 def _lonlat_sql() -> str:
@@ -442,7 +509,7 @@ def _lonlat_sql() -> str:
     d = AXIS * cos(radians(LAT_0)) / sqrt(1 - e2 * sin(radians(LAT_0)) ** 2) / (r_q * cos(beta_0))
     series = [(2, e2 / 3 + 31 * e2**2 / 180 + 517 * e2**3 / 5040), (4, 23 * e2**2 / 360 + 251 * e2**3 / 3780), (6, 761 * e2**3 / 45360)]
     n = lambda v: f"cast({v!r} as double)"
-    return f"""with p as (select distinct cast(n_nationkey * 40000.0 - 300000.0 as double) as x, cast(n_regionkey * 90000.0 - 200000.0 as double) as y from nation),
+    return f"""with p as (select distinct cast(c_custkey * 1000.0 % 900000 - 300000.0 as double) as x, cast(c_nationkey * 40000.0 - 400000.0 as double) as y from customer),
     r as (select *, sqrt(pow(x / {n(d)}, 2) + pow(y * {n(d)}, 2)) as rho from p), c as (select *, 2 * asin(rho / {n(2 * r_q)}) as c from r),
     b as (select *, asin(cos(c) * {n(sin(beta_0))} + case when rho = 0 then 0 else y * {n(d)} * sin(c) / rho * {n(cos(beta_0))} end) as beta from c)
     select x, y, round(case when rho = 0 then {n(LON_0)} else {n(LON_0)} + degrees(atan2(x * sin(c), {n(d * cos(beta_0))} * rho * cos(c) - {n(d * d * sin(beta_0))} * y * sin(c))) end, 6) as lon,
@@ -451,27 +518,38 @@ def _lonlat_sql() -> str:
 
 @query(_lonlat_sql())
 def grid_lonlat_lookup(spark, sf_dir):
-    cells = table(spark, sf_dir, "nation").select((F.col("n_nationkey") * 40000.0 - 300000.0).cast("double").alias("x"), (F.col("n_regionkey") * 90000.0 - 200000.0).cast("double").alias("y"))
+    cells = table(spark, sf_dir, "customer").select((F.col("c_custkey") * 1000.0 % 900000 - 300000.0).alias("x"), (F.col("c_nationkey") * 40000.0 - 400000.0).alias("y"))
     out = g.lonlat_lookup(cells)
     return out.select("x", "y", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))
 
 
 @query(
     f""">c as ({values_sql(CONSTANTS, "variable, mean, std")}), {_WINDOW_SQL.removeprefix(">")},
-    n as (select location_id, variable, frame, y, x, (value - mean) / std as value from near join c using (variable))
-    select location_id, variable, row_number() over (partition by location_id, variable order by frame, y, x) - 1 as place, value from n""",
+    d as (select location_id, variable, frame as step, y, x, case when variable in (1, 3) then lead(value) over (partition by location_id, variable, y, x order by frame) - value else value end as raw from near),
+    n as (select location_id, variable, step, y, x, (raw - mean) / std as value from d join c using (variable) where raw is not null),
+    s as (select 'short' as model, step + k as t0, * from n cross join range(0, 3) as r(k) union all select 'long', step + k, * from n cross join range(-1, 3) as r(k)),
+    f as (select model, t0, location_id, variable, step, y, x, value from s where t0 in (select frame from grid) and (model = 'short' or t0 % 2 = 0)),
+    o as (select *, row_number() over (partition by model, t0, location_id, variable order by step, y, x) as place from f)
+    select model, t0, location_id, variable, count(*) as n_values, round(sum(value * place), 4) as checksum, max(case when place = 1 then value end) as first_value from o group by 1, 2, 3, 4""",
     "grid",
 )
 def assemble_features(spark, sf_dir):
-    cells = g.normalise(_windows(spark, sf_dir), values(spark, CONSTANTS, "variable long, mean double, std double")).withColumnRenamed("frame", "step")
-    return g.assemble_features(cells, ["location_id", "variable"]).select("location_id", "variable", F.posexplode("values").alias("place", "value"))
+    """Two models with slices of their own, of all t0 and of every other one; variables 1 and 3 are accumulated."""
+    cells = views.grid(spark, sf_dir).withColumnRenamed("frame", "step")
+    places = _places(spark, sf_dir)
+    constants = values(spark, CONSTANTS, "variable long, mean double, std double")
+    t0s = cells.select(F.col("step").alias("t0")).distinct()
+    of = lambda model, rows, steps: g.sample_features(cells, rows.select(F.lit(model).alias("model"), "t0"), places, constants, (4, 3), steps, [1, 3])
+    both = of("short", t0s, (2, 0)).unionByName(of("long", t0s.where("t0 % 2 = 0"), (2, 1)))
+    checksum = F.aggregate(F.transform("values", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return both.select("model", "t0", "location_id", "variable", F.size("values").alias("n_values"), F.round(checksum, 4).alias("checksum"), F.get("values", F.lit(0)).alias("first_value"))
 
 
 # --- capacities ----------------------------------------------------------------------------------
 
 _CAPACITY_SQL = """>live as (select location_id, capacity from locations union all select 0, 5000.0 where not exists (select 1 from locations where location_id = 0)),
     backup as (select s_suppkey as location_id, round(s_acctbal + 20000, 2) as capacity from supplier),
-    ids as (select nation as run_id, location_id from locations where location_id % 9 < 2 union select nation, 0 from locations where location_id % 9 < 2),
+    ids as (select location_id // 4 as run_id, location_id from locations union select location_id // 4, 0 from locations),
     j as (select run_id, i.location_id, l.capacity as live, bool_and(l.capacity is not null) over (partition by run_id) as good from ids i left join live l using (location_id))"""
 
 
@@ -482,7 +560,7 @@ _CAPACITY_SQL = """>live as (select location_id, capacity from locations union a
 def capacities_with_backup(spark, sf_dir):
     places = views.locations(spark, sf_dir)
     backup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("location_id"), F.round(F.col("s_acctbal") + 20000, 2).alias("capacity"))
-    return store.capacities_with_backup(places.where("location_id % 9 < 2").select(F.col("nation").alias("run_id"), "location_id"), places.select("location_id", "capacity"), backup)
+    return store.capacities_with_backup(places.select(F.expr("location_id div 4").alias("run_id"), "location_id"), places.select("location_id", "capacity"), backup)
 
 
 @query("select nation as location_id, arg_max(name, location_id) as location_uuid from locations group by 1", "locations")
@@ -497,9 +575,7 @@ def location_uuid_map(spark, sf_dir):
     "locations",
 )
 def relative_capacity(spark, sf_dir):
-    places = views.locations(spark, sf_dir)
-    total = places.groupBy("nation").agg(F.sum(F.col("capacity").cast("decimal(18,2)")).cast("double").alias("total"))
-    return places.where("capacity is not null").join(total, "nation").select("location_id", (F.col("capacity") / F.col("total")).alias("relative"))
+    return f.relative_capacities(views.locations(spark, sf_dir), "nation")
 
 
 @query(
@@ -565,6 +641,26 @@ def postprocess_forecast(spark, sf_dir):
     return f.postprocess(scored, QUANTILES, capacity).withColumn("value", F.round("value", 6)).select("model", "init_time", "location_id", "target_time", "output_label", "value")
 
 
+_CAPS_SQL = "caps as (select distinct location_id, cast(512.7 as double) + cast(16.3 as double) * (location_id % 32) as capacity from forecast where location_id > 0)"
+
+
+@query(
+    f"""{_SCORED_SQL}, {_CAPS_SQL}, lit as (select s.*, (hour(target_time) * 7 + location_id % 5) / 128.0 as scaled from scored s),
+    m as (select l.*, capacity, (scaled - 0.5) * 180 < 0 as dark, case when (scaled - 0.5) * 180 < 0 or value < 0 then 0.0 else value end as fraction from lit l join caps using (location_id)),
+    n as (select model, init_time, target_time, output_label, bool_and(dark) as dark, cast(sum(cast(value * capacity / 65536.0 as decimal(38, 20))) as double) as raw from m group by 1, 2, 3, 4),
+    post as (select model, init_time, 0 as location_id, target_time, output_label, case when dark or raw < 0 then 0.0 else raw end as fraction, case when dark or raw < 0 then 0.0 else raw end * 65536.0 as value from n
+      union all select model, init_time, location_id, target_time, output_label, fraction, fraction * capacity from m)
+    select {_KEYS}, replace(output_label, '_mw', '_fraction') as fraction_label, round(fraction, 7) as fraction, round(value, 5) as value from post""",
+    "forecast",
+)
+def postprocess_fractions(spark, sf_dir):
+    """A model of the nation from the locations' raw fractions and shares; fractions beside megawatts."""
+    scored = _with_elevation(_scored(spark, sf_dir))
+    capacity = scored.select("location_id").distinct().withColumn("capacity", 512.7 + 16.3 * (F.col("location_id") % 32))
+    done = f.postprocess(scored, QUANTILES, capacity, 65536.0, f.weighted_sum)
+    return done.select("model", "init_time", "location_id", "target_time", "fraction_label", F.round("fraction", 7).alias("fraction"), F.round("value", 5).alias("value"))
+
+
 @query(f"select model, {text('init_time')}, {text('target_time')}, 'forecast_mw' as output_label, mw as value, 0 as location_id from own_national", "own_national")
 def national_sum(spark, sf_dir):
     rows = views.forecast(spark, sf_dir).withColumns({"output_label": F.lit("forecast_mw"), "value": F.col("mw").cast("decimal(18,2)")})
@@ -763,13 +859,19 @@ def solar_elevation(spark, sf_dir):
     return times.select("target_time", F.round(elevation(F.col("target_time"), v.LATITUDE, v.LONGITUDE), 5).alias("elevation"))
 
 
-_VERDICT_SQL = f"""{_ZIG_SQL}, {_SUN_SQL}, zig as (select model, init_time, {_zig(25.0)} as zig_zag_warning, {_zig(150.0)} as zig_zag, max(mw) > 1.1 * 600 or max(mw) > 20000 as too_high from steps group by 1, 2),
+_VERDICT_SQL = f"""{_ZIG_SQL}, {_SUN_SQL}, cap as (select max(mw) * 0.75 as capacity from national),
+    zig as (select model, init_time, {_zig(25.0)} as zig_zag_warning, {_zig(150.0)} as zig_zag, max(mw) > 1.1 * max(capacity) or max(mw) > 20000 as too_high from steps cross join cap group by 1, 2),
     day as (select model, init_time, bool_or(elevation > 14.5 and mw <= 0) as dark_by_day from lit group by 1, 2),
     verdict as (select model, init_time, too_high, zig_zag_warning, zig_zag, dark_by_day, not (too_high or zig_zag or dark_by_day) as valid from zig join day using (model, init_time))"""
 
 
 def _verdicts(spark, sf_dir):
-    return v.validate(views.national(spark, sf_dir), 600.0, 25.0, 150.0, 14.5)
+    return v.validate(_with_capacity(views.national(spark, sf_dir)), F.col("capacity"), 25.0, 150.0, 14.5)
+
+
+def _with_capacity(national):
+    """Three quarters of the largest value: the highest series are too high."""
+    return national.crossJoin(F.broadcast(national.agg((F.max("mw") * 0.75).alias("capacity"))))
 
 
 @query(f">{_VERDICT_SQL} select model, {text('init_time')}, too_high, zig_zag_warning, zig_zag, dark_by_day, valid from verdict", "national")
@@ -790,9 +892,22 @@ def latest_forecasts(spark, sf_dir):
     return store.latest_forecasts(views.forecast(spark, sf_dir)).select("location_id", "model", "init_time", "target_time", "mw")
 
 
-@query(f">s as (select *, init_time + (target_time - init_time) as t from forecast) select location_id, model, arg_max(mw, init_time) as mw, {text('max(init_time)').replace('as max(init_time)', 'as init_time')} from s where t = timestamp '2024-01-10 12:00:00' group by 1, 2", "forecast")
+@query(
+    f""">inits as (select * from forecast union all select model, init_time - interval 1 day, location_id, target_time, mw * 2 from forecast
+      union all select model, init_time - interval 2 day, location_id, target_time, mw * 4 from forecast where location_id % 2 = 0 and model <> 'view'),
+    own as (select * from inits where not (init_time = date_trunc('day', target_time) and location_id % 3 = 0)),
+    busiest as (select target_time from own group by 1 order by count(*) desc, target_time limit 1)
+    select location_id, model, arg_max(mw, init_time) as mw, {text("max(init_time)").replace("as max(init_time)", "as init_time")} from own where target_time = (select target_time from busiest) group by 1, 2""",
+    "forecast",
+)
 def forecast_at_timestamp(spark, sf_dir):
-    return store.forecast_at(views.forecast(spark, sf_dir), F.lit("2024-01-10 12:00:00").cast("timestamp"))
+    """Up to three inits cover a time; some places lack the latest one. The time is the one with the most rows."""
+    rows = views.forecast(spark, sf_dir)
+    shifted = lambda days, factor, rows: rows.withColumns({"init_time": plus_minutes(F.col("init_time"), -1440 * days), "mw": F.col("mw") * factor})
+    inits = rows.unionByName(shifted(1, 2, rows)).unionByName(shifted(2, 4, rows.where("location_id % 2 = 0 and model <> 'view'")))
+    own = inits.where(~((F.col("init_time") == floor_minutes(F.col("target_time"), 1440)) & (F.col("location_id") % 3 == 0)))
+    at = own.groupBy("target_time").count().orderBy(F.desc("count"), "target_time").limit(1).select(F.col("target_time").alias("ts"))
+    return store.forecast_at(own.crossJoin(F.broadcast(at)), F.col("ts"))
 
 
 @query(f"select location_id, model, {text('init_time')}, {text('target_time')}, mw from forecast where model = 'view' and init_time = timestamp '2024-01-05' and target_time between timestamp '2024-01-05 06:00:00' and timestamp '2024-01-05 18:00:00'", "forecast")
@@ -813,14 +928,14 @@ def latest_observation(spark, sf_dir):
 
 
 @query(
-    """with r as (select 'model_' || r_regionkey as name, '1.' || r_regionkey as version from region where r_regionkey < 3),
-    w as (select 'model_' || n_nationkey as name, '1.' || n_regionkey as version from nation where n_nationkey between 1 and 7)
+    """with r as (select 'model_' || s_suppkey as name, '1.' || s_nationkey as version from supplier), w as (select 'model_' || c_custkey as name, '1.' || c_nationkey as version from customer where c_custkey >= 3)
     select name, coalesce(w.version, r.version) as version, case when r.version is null then 'insert' when w.version is null or w.version = r.version then 'keep' else 'update' end as action from r full join w using (name)"""
 )
 def register_forecaster(spark, sf_dir):
-    registry = table(spark, sf_dir, "region").where("r_regionkey < 3").select(F.concat(F.lit("model_"), "r_regionkey").alias("name"), F.concat(F.lit("1."), "r_regionkey").alias("version"))
-    wanted = table(spark, sf_dir, "nation").where("n_nationkey between 1 and 7").select(F.concat(F.lit("model-"), "n_nationkey").alias("name"), F.concat(F.lit("1."), "n_regionkey").alias("version"))
-    return store.register_forecasters(registry, wanted)
+    """Suppliers are the registry, customers what is to be registered."""
+    named = lambda name, key, mark: table(spark, sf_dir, name).select(F.concat(F.lit(mark), key[0]).alias("name"), F.concat(F.lit("1."), key[1]).alias("version"))
+    wanted = table(spark, sf_dir, "customer").where("c_custkey >= 3").select(F.concat(F.lit("model-"), "c_custkey").alias("name"), F.concat(F.lit("1."), "c_nationkey").alias("version"))
+    return store.register_forecasters(named("supplier", ("s_suppkey", "s_nationkey"), "model_"), wanted)
 
 
 @query(f">inits as (select distinct init_time from forecast), done as (select distinct model, init_time from forecast where mw > 200) select {text('init_time')}, m.model from inits, (values ('view'), ('signup')) m(model) where (m.model, init_time) not in (select (model, init_time) from done)", "forecast")
@@ -832,10 +947,42 @@ def model_completeness(spark, sf_dir):
     return store.incomplete_models(required, rows.where("mw > 200").select("model", "init_time").distinct())
 
 
-@query(f"select model, {text('init_time')}, 48 as n_expected, 48 - count(mw) as n_missing from slots left join own_national using (model, init_time, target_time) group by model, init_time", "slots")
+@query(
+    f""">models as (select distinct init_time, m.model, m.is_critical from forecast cross join (values ('view', true), ('signup', true), ('click', false)) m(model, is_critical)),
+    done as (select distinct model, init_time, true as done from forecast where mw > 200), j as (select m.*, done is null as gone from models m left join done d using (model, init_time))
+    select {text("init_time")}, coalesce(string_agg(case when gone and is_critical then model end, ',' order by model), '') as missing_critical, coalesce(string_agg(case when gone then model end, ',' order by model), '') as missing from j group by init_time""",
+    "forecast",
+)
+def missing_models(spark, sf_dir):
+    """For each init the critical models, and all models, without a finished run."""
+    rows = views.forecast(spark, sf_dir)
+    kinds = values(spark, [("view", True), ("signup", True), ("click", False)], "model string, is_critical boolean")
+    found = store.missing_models(rows.select("init_time").distinct().crossJoin(F.broadcast(kinds)), rows.where("mw > 200"))
+    return found.select("init_time", F.array_join("missing_critical", ",").alias("missing_critical"), F.array_join("missing", ",").alias("missing"))
+
+
+HORIZONS = {"intraday": 16, "day_ahead": 72}
+COVERED = {"nation": ["p50", *f.NATION_LEVELS], "location": ["p50", *f.LOCATION_LEVELS]}
+
+
+@query(
+    f""">runs as (select distinct model, init_time, case when model in ('view', 'click') then 16 else 72 end as n from forecast),
+    places as (select distinct location_id from forecast union select 0), levels as (select unnest({COVERED["nation"]!r}) as level),
+    want as (select model, init_time, location_id, init_time + to_minutes(30 * k) as target_time, level from (select *, unnest(range(1, n + 1)) as k from runs) cross join places cross join levels
+      where location_id = 0 or level in ('p50', 'p10', 'p90')),
+    have as (select distinct model, init_time, location_id, target_time, level from forecast cross join levels where location_id > 0 and level in ('p50', 'p10') union select distinct model, init_time, 0, target_time, level from forecast cross join levels)
+    select model, {text("init_time")}, count(*) as n_expected, count(*) - count(h.level) as n_missing from want left join (select *, level as found from have) h using (model, init_time, location_id, target_time, level) group by model, init_time""".replace("count(h.level)", "count(h.found)"),
+    "forecast",
+)
 def forecast_coverage(spark, sf_dir):
-    keys = ["model", "init_time", "target_time"]
-    return store.coverage(views.national(spark, sf_dir).select(*keys), views.forecast(spark, sf_dir), keys)
+    """All horizons, places and levels of each run, and how many of them are absent; places have no p90 here."""
+    rows = views.forecast(spark, sf_dir)
+    runs = rows.select("model", "init_time").distinct().withColumn("kind", F.when(F.col("model").isin("view", "click"), "intraday").otherwise("day_ahead"))
+    nation = rows.select("model", "init_time", F.lit(0).cast("long").alias("location_id"), "target_time")
+    level = lambda names: F.explode(F.lit(names)).alias("level")
+    have = rows.where("location_id > 0").select("model", "init_time", "location_id", "target_time", level(["p50", "p10"])).unionByName(nation.select("*", level(COVERED["nation"])))
+    expected = store.expected_values(runs, rows.select("location_id").union(nation.select("location_id")), HORIZONS, COVERED)
+    return store.coverage(expected, have, ["model", "init_time", "location_id", "target_time", "level"])
 
 
 @query(f"select 'observed_' || location_id as name, strftime(max(target_time), '{DAY}') as at from forecast where model = 'error' group by 1 union all select 'modified_' || event_type, strftime(max(ts), '{DAY}') from events group by 1", "forecast")
@@ -853,19 +1000,37 @@ def _fresh(spark) -> str:
 
 @query(f"select provider, {text('time')}, y, x, value, x // 100 as tile_x from (select provider, time, date_part('minute', time) * 4 as y, date_part('hour', time) * 12 as x, value from provider_frames)", "provider_frames")
 def write_grid_roundtrip(spark, sf_dir):
+    """Frames of one day come in two writes, one of them twice."""
     path = _fresh(spark)
     cells = views.provider_frames(spark, sf_dir).withColumns({"variable": F.lit(1), "y": F.minute("time") * 4, "x": F.hour("time") * 12})
-    for _ in range(2):  # writing twice leaves the same rows
-        store.write_grid(cells, path, "satellite")
+    early = F.hour("time") < 12
+    for part in (cells.where(early), cells.where(~early), cells.where(early)):
+        store.write_grid(part, path, "satellite")
     return store.read_grid(spark, path).select("provider", "time", "y", "x", "value", "tile_x")
 
 
-@query(f"select model, {text('init_time')}, location_id, {text('target_time')}, mw from forecast", "forecast")
+@query(f"select provider, {text('time')}, y, x, value, x // 100 as tile_x from (select provider, time, date_part('minute', time) * 4 as y, date_part('hour', time) * 12 as x, value from provider_frames) where provider = 'view' and time between (select min(time) + interval 30 hour from provider_frames) and (select min(time) + interval 200 hour from provider_frames) and x // 100 = 1", "provider_frames")
+def read_grid_pruned(spark, sf_dir):
+    """One provider, a span of time and a column of tiles: folders and tiles that aren't asked for are not read."""
+    path = _fresh(spark)
+    cells = views.provider_frames(spark, sf_dir).withColumns({"variable": F.lit(1), "y": F.minute("time") * 4, "x": F.hour("time") * 12})
+    store.write_grid(cells, path, "satellite")
+    first = cells.agg(F.min("time")).first()[0]
+    hours = lambda n: first + timedelta(hours=n)
+    return store.read_grid(spark, path, None, "view", hours(30), hours(200), tile_x=(1, 1)).select("provider", "time", "y", "x", "value", "tile_x")
+
+
+_TWO_INITS = ">runs as (select * from forecast union all select model, init_time + interval 30 minute, location_id, target_time + interval 30 minute, mw * 2 from forecast)"
+
+
+@query(f"{_TWO_INITS} select model, {text('init_time')}, location_id, {text('target_time')}, mw from runs", "forecast")
 def write_forecast_roundtrip(spark, sf_dir):
+    """Two inits of a day, written one after the other, and one model again: all runs are there once."""
     path = _fresh(spark)
     rows = views.forecast(spark, sf_dir)
-    store.write_forecast(rows, path)
-    store.write_forecast(rows.where("model = 'view'"), path)
+    later = rows.withColumns({"init_time": plus_minutes(F.col("init_time"), 30), "target_time": plus_minutes(F.col("target_time"), 30), "mw": F.col("mw") * 2})
+    for part in (rows, later, rows.where("model = 'view'")):
+        store.write_forecast(part, path)
     return spark.read.parquet(path).select("model", "init_time", "location_id", "target_time", "mw")
 
 
@@ -880,13 +1045,17 @@ def feature_snapshot_roundtrip(spark, sf_dir):
 
 
 def _stream(spark, sf_dir):
-    """The events as a file stream; the last, far-off row closes all windows."""
+    """The events as a file stream, one file at a time: all events, a row just after them, a copy of all but the last
+    two days' events, which come too late, and a far-off row that closes all windows. (Spark drops late rows by the
+    watermark of the batch before.)"""
     path = _fresh(spark)
     rows = views.events(spark, sf_dir).select(F.col("ts").alias("time"), F.col("event_type").alias("source"), (F.floor("value") % 5).alias("value"))
-    rows.write.parquet(f"{path}/in/1")
-    end = rows.agg(F.max("time").alias("time")).select(plus_minutes(F.col("time"), 60 * 1440).alias("time"), F.lit("end").alias("source"), F.lit(1).cast("long").alias("value"))
-    end.write.parquet(f"{path}/in/2")
-    return spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 64).parquet(f"{path}/in"), path
+    end = rows.agg(F.max("time").alias("end"))
+    late = rows.crossJoin(F.broadcast(end)).where(F.col("time") < plus_minutes(F.col("end"), -2880)).drop("end")
+    mark = lambda minutes: end.select(plus_minutes(F.col("end"), minutes).alias("time"), F.lit("end").alias("source"), F.lit(1).cast("long").alias("value"))
+    for k, part in enumerate((rows, mark(1), late, mark(60 * 1440))):
+        part.repartition(1).write.parquet(f"{path}/in/{k}")
+    return spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{path}/in"), path
 
 
 @query(
@@ -896,7 +1065,7 @@ def stream_frame_quality(spark, sf_dir):
     from helioflow.streaming import jobs
 
     stream, path = _stream(spark, sf_dir)
-    jobs.run_available(jobs.frame_quality(stream, "31 days"), f"{path}/out", f"{path}/state")
+    jobs.run_available(jobs.frame_quality(stream, "3 hours"), f"{path}/out", f"{path}/state")
     return spark.read.schema("frame timestamp, source string, n_cells long, n_zero long").parquet(f"{path}/out").where("source <> 'end'")
 
 
@@ -919,9 +1088,9 @@ def stream_validate(spark, sf_dir):
     from helioflow.streaming import jobs
 
     path = _fresh(spark)
-    rows = views.national(spark, sf_dir)
+    rows = _with_capacity(views.national(spark, sf_dir))
     rows.repartition("model").write.parquet(f"{path}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
-    write = jobs.validated_writer(lambda batch: v.validate(batch, 600.0, 25.0, 150.0, 14.5), f"{path}/out")
+    write = jobs.validated_writer(lambda batch: v.validate(batch, F.col("capacity"), 25.0, 150.0, 14.5), f"{path}/out")
     stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{path}/out").select("model", "init_time", "valid")

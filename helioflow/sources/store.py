@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helioflow.functions.columns import plus_minutes
+from helioflow.functions.tables import require_none, small
 
 #: Tile edge, in cells, of stored grids.
 TILES = {"satellite": 100, "ukv": 100, "ecmwf": 50, "cloudcasting": 100}
@@ -13,19 +16,42 @@ BACKUP_SCHEMA = "gsp_id int, capacity_mwp double"
 
 
 def write_grid(grid: DataFrame, path: str, provider: str, parts: int | None = None) -> None:
-    """Replace what is stored of the grid's providers and days, cut into tiles."""
+    """Replace what is stored of the grid's frames, cut into tiles; other frames stay.
+
+    A frame of one provider is a folder, so that a later frame of the same day leaves earlier ones alone.
+    """
     tile = TILES[provider]
     tiled = grid.withColumns({
-        "variable": F.col("variable").cast("string"), "date": F.to_date("time"), "tile_y": F.floor(F.col("y") / tile), "tile_x": F.floor(F.col("x") / tile),
+        "variable": F.col("variable").cast("string"), "date": F.to_date("time"), "frame": F.date_format("time", "'T'HHmmss"),
+        "tile_y": F.floor(F.col("y") / tile).cast("int"), "tile_x": F.floor(F.col("x") / tile).cast("int"),
     })
-    keys = ["provider", "date", "tile_y", "tile_x"]
-    dealt = tiled.repartition(parts, *keys) if parts else tiled.repartition(*keys)
-    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("provider", "date").parquet(path)
+    keys = ["provider", "date", "frame"]
+    dealt = tiled.repartition(parts, *keys, "tile_y", "tile_x") if parts else tiled.repartition(*keys, "tile_y", "tile_x")
+    dealt.sortWithinPartitions(*keys, "tile_y", "tile_x").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def read_grid(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+def read_grid(
+    spark: SparkSession, path: str, schema: str | None = None, provider: str | None = None, start: datetime | None = None, stop: datetime | None = None,
+    tile_y: tuple[int, int] | None = None, tile_x: tuple[int, int] | None = None,
+) -> DataFrame:
+    """A stored grid, or a provider's frames from ``start`` to ``stop`` and tiles in ranges, ends included.
+
+    Providers, days and frames are folders that are not listed into the scan; tiles are pushed to it.
+    """
+    grid = (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    if provider is not None:
+        grid = grid.where(F.col("provider") == provider)
+    day, clock = F.col("date").cast("date"), F.col("frame")
+    for bound, before in ((start, False), (stop, True)):
+        if bound is not None:
+            at = bound.strftime("T%H%M%S")
+            same = clock <= at if before else clock >= at
+            other = day < F.lit(bound.date()) if before else day > F.lit(bound.date())
+            grid = grid.where(other | ((day == F.lit(bound.date())) & same))
+    for name, span in (("tile_y", tile_y), ("tile_x", tile_x)):
+        if span is not None:
+            grid = grid.where(F.col(name).between(*span))
+    return grid.drop("frame")
 
 
 def read_backup_capacities(spark: SparkSession, path: str) -> DataFrame:
@@ -56,19 +82,27 @@ def capacities_with_backup(requested: DataFrame, live: DataFrame, backup: DataFr
 
 
 def unresolved(rows: DataFrame, known: DataFrame, on: str) -> DataFrame:
-    """Rows whose key can't be resolved; a job fails if there are any."""
+    """Rows whose key can't be resolved."""
     return rows.join(known, on, "left_anti")
 
 
+def with_uuid(rows: DataFrame, uuids: DataFrame) -> DataFrame:
+    """Rows with their location's uuid; fails, naming them, if some locations have none."""
+    require_none(unresolved(rows, uuids, "location_id").select("location_id").distinct(), "locations without uuid")
+    return rows.join(uuids, "location_id")
+
+
 def location_uuid_map(locations: DataFrame) -> DataFrame:
     """The last row of an id wins, by ``load_order``."""
     return locations.groupBy("location_id").agg(F.max_by("location_uuid", "load_order").alias("location_uuid"))
 
 
 def write_forecast(forecast: DataFrame, path: str) -> None:
-    """Replace whole (init_date, model) partitions: writing twice leaves the same rows."""
-    dated = forecast.withColumn("init_date", F.to_date("init_time"))
-    dated.repartition("init_date", "model").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("init_date", "model").parquet(path)
+    """Replace whole runs, one of each model and init time: writing twice leaves the same rows, and
+    runs of other init times, of the same day too, stay."""
+    keys = ["init_date", "model", "init"]
+    dated = forecast.withColumns({"init_date": F.to_date("init_time"), "init": F.date_format("init_time", "'T'HHmmss")})
+    dated.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
 def write_snapshot(features: DataFrame, path: str, model_order: str) -> None:
@@ -118,8 +152,39 @@ def incomplete_models(required: DataFrame, done: DataFrame) -> DataFrame:
     return required.join(done, ["init_time", "model"], "left_anti")
 
 
+def check_models_finished(models: DataFrame, done: DataFrame, every: bool = False) -> DataFrame:
+    """For each init: the missing critical models, and all missing ones, as sorted arrays.
+
+    ``models`` has ``init_time, model, is_critical``. It fails if a critical model is missing, or any with ``every``.
+    """
+    missing = incomplete_models(models, done)
+    require_none((missing if every else missing.where("is_critical")).select("init_time", "model"), "models without a finished run")
+    return missing_models(models, done)
+
+
+def missing_models(models: DataFrame, done: DataFrame) -> DataFrame:
+    """As ``check_models_finished``, without failing."""
+    missing = models.join(done.select("init_time", "model", F.lit(True).alias("done")).distinct(), ["init_time", "model"], "left").withColumn("gone", F.col("done").isNull())
+    lists = [F.array_sort(F.collect_set(F.when(hit, F.col("model")))).alias(name) for name, hit in (("missing_critical", F.col("gone") & F.col("is_critical")), ("missing", F.col("gone")))]
+    return missing.groupBy("init_time").agg(*lists)
+
+
 def coverage(expected: DataFrame, forecast: DataFrame, keys: list[str]) -> DataFrame:
     """For each (model, init_time): rows expected and missing."""
     have = forecast.select(*keys).distinct().withColumn("have", F.lit(1))
     joined = expected.join(have, keys, "left")
     return joined.groupBy("model", "init_time").agg(F.count("*").alias("n_expected"), (F.count("*") - F.count("have")).alias("n_missing"))
+
+
+def expected_values(runs: DataFrame, locations: DataFrame, horizons: dict[str, int], levels: dict[str, list[str]], step: int = 30) -> DataFrame:
+    """Every value that a run must have: ``model, init_time, location_id, target_time, level``.
+
+    ``runs`` has ``model, init_time, kind``; ``horizons``: the number of steps of each kind of model;
+    ``levels``: those of the nation (``"nation"``, location 0) and of other places (``"location"``).
+    """
+    ahead = F.create_map(*(F.lit(x) for kind, n in horizons.items() for x in (kind, n)))
+    steps = F.sequence(F.lit(1), ahead[F.col("kind")])
+    targets = runs.select("model", "init_time", F.explode(F.transform(steps, lambda k: plus_minutes(F.col("init_time"), k * step))).alias("target_time"))
+    own = F.when(F.col("location_id") == 0, F.lit(levels["nation"])).otherwise(F.lit(levels["location"]))
+    each = locations.select("location_id").distinct().select("location_id", F.explode(own).alias("level"))
+    return targets.crossJoin(small(each))
