@@ -25,6 +25,8 @@ BUCKETS = 1 << 15
 PENALTY = 8.0
 #: A script belongs to a language if at least this share of the language's letters are in it.
 SCRIPT_SHARE = 0.02
+#: Bytes of text that a worker labels at a time, to bound its memory.
+PART = 250_000
 #: The languages with the most documents that are learnt, if there are more.
 MAX_LANGS = 250
 UNKNOWN = "und"
@@ -110,7 +112,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> Model:
     share = shares[F.col("lang")] if sizes else F.lit(0.0)
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in slices(frames, "text", 1_000_000):
+        for rows in slices(frames, "text", PART):
             for lang, own in rows.groupby("lang"):
                 words = words_of(own["text"].tolist())
                 for kind, n in (("gram", np.bincount(words.letters, minlength=BUCKETS)), ("script", np.bincount(words.script, words.size))):
@@ -200,7 +202,7 @@ def language_spans(docs: DataFrame, model: Model) -> DataFrame:
     span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())])
 
     def labelled(texts: pa.Array) -> pa.Array:
-        found = [x for part in parts(texts) for x in predict(shared.value, part)]
+        found = [x for part in parts(texts, PART) for x in predict(shared.value, part)]
         spans = [[{"start": a, "end": b, "lang": lang} for a, b, lang in x[2]] for x in found]
         columns = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array(spans, pa.list_(span))]
         return pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "spans"])
@@ -223,7 +225,7 @@ def known_language(docs: DataFrame, model: Model, least_share: float = LEAST_SHA
 
     def judged(texts: pa.Array) -> pa.Array:
         langs: list[str | None] = []
-        for part in parts(texts):
+        for part in parts(texts, PART):
             if shared.value.langs:
                 langs += [lang if lang != UNKNOWN and share >= least_share else None for lang, share, _ in predict(shared.value, part)]
             else:
