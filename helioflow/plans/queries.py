@@ -641,7 +641,7 @@ def postprocess_forecast(spark, sf_dir):
     return f.postprocess(scored, QUANTILES, capacity).withColumn("value", F.round("value", 6)).select("model", "init_time", "location_id", "target_time", "output_label", "value")
 
 
-_CAPS_SQL = "caps as (select distinct location_id, cast(512.7 as double) + cast(16.3 as double) * (location_id % 32) as capacity from forecast where location_id > 0)"
+_CAPS_SQL = "caps as (select distinct location_id, cast(512.71831 as double) + cast(16.31417 as double) * (location_id % 32) as capacity from forecast where location_id > 0)"
 
 
 @query(
@@ -656,7 +656,7 @@ _CAPS_SQL = "caps as (select distinct location_id, cast(512.7 as double) + cast(
 def postprocess_fractions(spark, sf_dir):
     """A model of the nation from the locations' raw fractions and shares; fractions beside megawatts."""
     scored = _with_elevation(_scored(spark, sf_dir))
-    capacity = scored.select("location_id").distinct().withColumn("capacity", 512.7 + 16.3 * (F.col("location_id") % 32))
+    capacity = scored.select("location_id").distinct().withColumn("capacity", 512.71831 + 16.31417 * (F.col("location_id") % 32))
     done = f.postprocess(scored, QUANTILES, capacity, 65536.0, f.weighted_sum)
     return done.select("model", "init_time", "location_id", "target_time", "fraction_label", F.round("fraction", 7).alias("fraction"), F.round("value", 5).alias("value"))
 
