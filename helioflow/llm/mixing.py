@@ -78,15 +78,16 @@ def bit_contexts(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
             before[place < k] = 0
             past = (past + before + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         hashes.append(past + np.uint64(k) if k != 1 else past + np.minimum(place, 7).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    eight = np.arange(8)
-    nodes = (1 << eight) | (data[:, None].astype(np.int64) >> (8 - eight))  # the bits of the byte so far, after a 1
+    eight = np.arange(8, dtype=np.uint8)
+    nodes = (1 << eight) | (data[:, None] >> (8 - eight.astype(np.int16))).astype(np.uint8)  # the bits of the byte so far, after a 1
     bits = (data[:, None] >> (7 - eight)) & 1
+    spread = nodes.astype(np.uint32) * np.uint32(0x9E3779B1)
     slots = np.empty((ORDERS, len(data) * 8), np.int64)
     for k, h in enumerate(hashes):
-        mixed = (h[:, None] ^ nodes.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-        slots[k] = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64).ravel()
+        short = ((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)).astype(np.uint32)
+        slots[k] = ((short[:, None] ^ spread) * np.uint32(0x85EBCA77) >> np.uint32(33 - SLOTS.bit_length())).ravel()
     gate = np.minimum(place, 3)[:, None] * 8 + eight
-    return slots, bits.ravel().astype(np.float64), gate.ravel(), np.repeat(owner, 8)
+    return slots, bits.ravel(), gate.ravel(), np.repeat(owner, 8)
 
 
 @dataclass
@@ -243,11 +244,15 @@ def code_costs(codes: Codes, word: np.ndarray, doc: np.ndarray, docs: int) -> np
         own = which[a:b]
         x = [i[a:b] for i in inputs]
         odds_of_wrong = np.exp(-sum(w[own] * i for w, i in zip(weights, x, strict=True)))
-        cost[a:b] = -np.log1p(odds_of_wrong)
-        error = np.float32(TEXT_RATE) * odds_of_wrong / (1 + odds_of_wrong)
+        either = 1 + odds_of_wrong
+        cost[a:b] = np.log(either)
+        error = np.float32(TEXT_RATE) * odds_of_wrong / either
         for w, i in zip(weights, x, strict=True):
-            np.add.at(w, own, error * i)
-    return np.bincount(whose, cost, docs)
+            if b - a > 2 * len(w):
+                w += np.bincount(own, error * i, len(w)).astype(np.float32)
+            else:
+                np.add.at(w, own, error * i)
+    return -np.bincount(whose, cost, docs)
 
 
 def repeat_costs(word: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
@@ -288,31 +293,35 @@ class Speller:
             for k in range(ORDERS):
                 z += self.stretch[k][slots[k]] * self.weights[:, 2 * k][gate] + self.trust[k][slots[k]] * self.weights[:, 2 * k + 1][gate]
             z[bits > 0] *= -1
-            out[at : at + len(part)] = np.bincount(owner, -np.logaddexp(0, z), len(part))
+            out[at : at + len(part)] = np.bincount(owner, -np.log1p(np.exp(np.minimum(z, 600))), len(part))
         return out
 
 
 def stretched(zero: np.ndarray, one: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Log odds of counts, and the same shrunk where the counts are few."""
-    odds = np.log((one + 0.2) / (zero + 0.2))
-    return odds, odds * ((zero + one) / (zero + one + 20))
+    odds = np.log((one + np.float32(0.2)) / (zero + np.float32(0.2)))
+    both = zero + one
+    return odds, odds * (both / (both + np.float32(20)))
 
 
 def learn_mixer(zeros: np.ndarray, ones: np.ndarray, words: list[bytes], counts: np.ndarray) -> np.ndarray:
     """Weights by online gradient steps, 64 words at a time, each word without its own counts."""
-    weights = np.zeros((32, 2 * ORDERS + 1))
-    weights[:, 1 : 2 * ORDERS : 2] = 0.3
+    weights = np.zeros((2 * ORDERS + 1, 32), np.float32)
+    weights[1 : 2 * ORDERS : 2] = 0.3
     for at in range(0, len(words), 64):
         slots, bits, gate, owner = bit_contexts(words[at : at + 64])
-        own = counts[at : at + 64][owner]
-        x = np.ones((2 * ORDERS + 1, len(bits)))
+        own = counts[at : at + 64].astype(np.float32)[owner]
+        own_one = own * bits.astype(np.float32)
+        own_zero = own - own_one
+        x = []
         for k in range(ORDERS):
-            zero, one = zeros[k][slots[k]] - own * (1 - bits), ones[k][slots[k]] - own * bits
-            x[2 * k], x[2 * k + 1] = stretched(np.maximum(zero, 0), np.maximum(one, 0))
-        z = np.einsum("ib,bi->b", x, weights[gate])
-        error = bits - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        np.add.at(weights, gate, (RATE / 8) * np.clip(error * x, -4, 4).T)
-    return weights
+            x += stretched(np.maximum(zeros[k][slots[k]] - own_zero, 0), np.maximum(ones[k][slots[k]] - own_one, 0))
+        x.append(np.ones(len(bits), np.float32))
+        z = sum(w[gate] * i for w, i in zip(weights, x, strict=True))
+        error = bits.astype(np.float32) - 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        for w, i in zip(weights, x, strict=True):
+            w += (RATE / 8) * np.bincount(gate, np.clip(error * i, -4, 4), 32)
+    return weights.T
 
 
 @dataclass
