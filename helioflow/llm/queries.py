@@ -45,7 +45,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.with_drops(read(spark, sf_dir, "documents"))
-    return done.select("doc_id", "text", F.coalesce(F.size("__drop"), F.lit(0)).alias("n_dropped"))
+    return done.select("doc_id", "text", F.coalesce(F.size("drop"), F.lit(0)).alias("n_dropped"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
