@@ -650,7 +650,7 @@ _CAPS_SQL = "caps as (select distinct location_id, cast(512.71831 as double) + c
     n as (select model, init_time, target_time, output_label, bool_and(dark) as dark, cast(sum(cast(value * capacity / 65536.0 as decimal(38, 20))) as double) as raw from m group by 1, 2, 3, 4),
     post as (select model, init_time, 0 as location_id, target_time, output_label, case when dark or raw < 0 then 0.0 else raw end as fraction, case when dark or raw < 0 then 0.0 else raw end * 65536.0 as value from n
       union all select model, init_time, location_id, target_time, output_label, fraction, fraction * capacity from m)
-    select {_KEYS}, replace(output_label, '_mw', '_fraction') as fraction_label, round(fraction, 7) as fraction, round(value, 5) as value from post""",
+    select {_KEYS}, replace(output_label, '_mw', '_fraction') as fraction_label, floor(fraction * 1e7) / 1e7 as fraction, floor(value * 1e5) / 1e5 as value from post""",
     "forecast",
 )
 def postprocess_fractions(spark, sf_dir):
@@ -658,7 +658,7 @@ def postprocess_fractions(spark, sf_dir):
     scored = _with_elevation(_scored(spark, sf_dir))
     capacity = scored.select("location_id").distinct().withColumn("capacity", 512.71831 + 16.31417 * (F.col("location_id") % 32))
     done = f.postprocess(scored, QUANTILES, capacity, 65536.0, f.weighted_sum)
-    return done.select("model", "init_time", "location_id", "target_time", "fraction_label", F.round("fraction", 7).alias("fraction"), F.round("value", 5).alias("value"))
+    return done.select("model", "init_time", "location_id", "target_time", "fraction_label", (F.floor(F.col("fraction") * 1e7) / 1e7).alias("fraction"), (F.floor(F.col("value") * 1e5) / 1e5).alias("value"))
 
 
 @query(f"select model, {text('init_time')}, {text('target_time')}, 'forecast_mw' as output_label, mw as value, 0 as location_id from own_national", "own_national")
@@ -998,22 +998,28 @@ def _fresh(spark) -> str:
     return f"{(spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/helioflow-{uuid.uuid4().hex}"
 
 
-@query(f"select provider, {text('time')}, y, x, value, x // 100 as tile_x from (select provider, time, date_part('minute', time) * 4 as y, date_part('hour', time) * 12 as x, value from provider_frames)", "provider_frames")
+def _quarter_days(spark, sf_dir):
+    """Frames of six hours; the cells are the times in them."""
+    placed = views.provider_frames(spark, sf_dir).withColumns({"variable": F.lit(1), "y": F.minute("time") * 4, "x": F.hour("time") * 12})
+    return placed.withColumn("time", floor_minutes(F.col("time"), 360))
+
+
+@query(f"select provider, {text('time')}, y, x, value, x // 100 as tile_x from (select provider, time_bucket(interval '6 hours', time) as time, date_part('minute', time) * 4 as y, date_part('hour', time) * 12 as x, value from provider_frames)", "provider_frames")
 def write_grid_roundtrip(spark, sf_dir):
     """Frames of one day come in two writes, one of them twice."""
     path = _fresh(spark)
-    cells = views.provider_frames(spark, sf_dir).withColumns({"variable": F.lit(1), "y": F.minute("time") * 4, "x": F.hour("time") * 12})
+    cells = _quarter_days(spark, sf_dir)
     early = F.hour("time") < 12
     for part in (cells.where(early), cells.where(~early), cells.where(early)):
         store.write_grid(part, path, "satellite")
     return store.read_grid(spark, path).select("provider", "time", "y", "x", "value", "tile_x")
 
 
-@query(f"select provider, {text('time')}, y, x, value, x // 100 as tile_x from (select provider, time, date_part('minute', time) * 4 as y, date_part('hour', time) * 12 as x, value from provider_frames) where provider = 'view' and time between (select min(time) + interval 30 hour from provider_frames) and (select min(time) + interval 200 hour from provider_frames) and x // 100 = 1", "provider_frames")
+@query(f"select provider, {text('time')}, y, x, value, x // 100 as tile_x from (select provider, time_bucket(interval '6 hours', time) as time, date_part('minute', time) * 4 as y, date_part('hour', time) * 12 as x, value from provider_frames) where provider = 'view' and time between (select time_bucket(interval '6 hours', min(time)) + interval 30 hour from provider_frames) and (select time_bucket(interval '6 hours', min(time)) + interval 200 hour from provider_frames) and x // 100 = 1", "provider_frames")
 def read_grid_pruned(spark, sf_dir):
     """One provider, a span of time and a column of tiles: folders and tiles that aren't asked for are not read."""
     path = _fresh(spark)
-    cells = views.provider_frames(spark, sf_dir).withColumns({"variable": F.lit(1), "y": F.minute("time") * 4, "x": F.hour("time") * 12})
+    cells = _quarter_days(spark, sf_dir)
     store.write_grid(cells, path, "satellite")
     first = cells.agg(F.min("time")).first()[0]
     hours = lambda n: first + timedelta(hours=n)
