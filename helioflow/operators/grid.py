@@ -139,24 +139,30 @@ def lonlat_lookup(cells: DataFrame) -> DataFrame:
     return cells.select("x", "y").distinct().select("x", "y", lon.alias("lon"), lat.alias("lat"))
 
 
-def time_slices(cells: DataFrame, t0s: DataFrame, before: int, after: int) -> DataFrame:
-    """Cells of the steps from ``before`` steps ahead of each t0 to ``after`` steps past it, both included.
+def time_slices(rows: DataFrame, t0s: DataFrame, before: int, after: int) -> DataFrame:
+    """Rows of the steps from ``before`` steps ahead of each t0 to ``after`` steps past it, both included.
 
     ``step`` and ``t0`` are whole numbers. Each step names the t0 that read it, so that the join is one of
     equality and the work follows the slices.
     """
     offsets = F.sequence(F.lit(-after), F.lit(before))
-    asked = cells.withColumn("t0", F.explode(F.transform(offsets, lambda k: F.col("step") + k)))
+    asked = rows.withColumn("t0", F.explode(F.transform(offsets, lambda k: F.col("step") + k)))
     return asked.join(t0s, "t0").withColumn("place", F.col("step") - F.col("t0"))
 
 
-def assemble_features(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """One array for each key, of the cells' values in (step, y, x) order.
+def patches(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """One array for each key and step, of the values of a window's cells in (y, x) order."""
+    rows = F.array_sort(F.collect_list(F.struct("y", "x", "value")))
+    return cells.groupBy(*keys, "step").agg(F.transform(rows, lambda r: r["value"]).alias("patch"))
+
+
+def assemble_features(steps: DataFrame, keys: list[str]) -> DataFrame:
+    """One array for each key, of its patches' values in the order of steps.
 
     Keys must name one sample, such as (model, t0, location, variable): an array is as long as its sample.
     """
-    rows = F.array_sort(F.collect_list(F.struct("step", "y", "x", "value")))
-    return cells.groupBy(*keys).agg(F.transform(rows, lambda r: r["value"]).alias("values"))
+    rows = F.array_sort(F.collect_list(F.struct("step", "patch")))
+    return steps.groupBy(*keys).agg(F.flatten(F.transform(rows, lambda r: r["patch"])).alias("values"))
 
 
 def sample_features(
@@ -167,7 +173,8 @@ def sample_features(
 
     ``grid`` has ``variable, step, y, x, value``; ``samples`` ``model, t0``; ``window`` is the height and width
     around each location; ``steps`` how many steps before and after t0. Accumulated variables become the
-    next step's value less this one's before the slice, so their last step is absent.
+    next step's value less this one's before the slice, so their last step is absent. Cells are gathered into
+    patches before the slices overlap, so that a step is copied for each t0 as one row.
     """
     rows = grid
     if accumulated:
@@ -176,7 +183,7 @@ def sample_features(
         diffed = grid.where(summed).withColumn("value", ahead - F.col("value")).where(F.col("value").isNotNull())
         rows = grid.where(~summed).unionByName(diffed)
     near = window_cells(normalise(rows, constants), locations, *window, tile)
-    return assemble_features(time_slices(near, samples, *steps), ["model", "t0", "location_id", "variable"])
+    return assemble_features(time_slices(patches(near, ["location_id", "variable"]), samples, *steps), ["model", "t0", "location_id", "variable"])
 
 
 def prepare_nwp(
