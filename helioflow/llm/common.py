@@ -23,26 +23,39 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares; one of our own only where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
         found = tempfile.mkdtemp(prefix="helioflow-")
-        spark.sparkContext.setCheckpointDir(found)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(found)
+        _removed_at_exit(spark, context.getCheckpointDir())
     return found
 
 
+def _removed_at_exit(spark: SparkSession, folder: str) -> None:
+    """Let the driver remove a folder of this application's own when it ends."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint a small table; Spark removes the files when nothing refers to them."""
+    """Checkpoint a small table. The files go when the application ends, or with Spark's setting to
+    clean checkpoints up, when nothing refers to them."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write a large table to the shared folder as compressed Parquet and read it back."""
+    """Write a large table to the shared folder as compressed Parquet and read it back.
+
+    All such tables of an application are in one folder, which is removed when it ends.
+    """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/helioflow-{uuid.uuid4().hex}"
+    folder = f"{shared_dir(spark).rstrip('/')}/helioflow-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _removed_at_exit(spark, folder)
     return spark.read.schema(df.schema).parquet(path)
 
 
