@@ -23,8 +23,3 @@ def require_none(rows: DataFrame, what: str, shown: int = 20) -> None:
     if found:
         raise ValueError(f"{what}: " + "; ".join(", ".join(map(str, r)) for r in found))
 
-
-def require_some(rows: DataFrame, what: str) -> None:
-    """Fail if there is no row at all."""
-    if rows.isEmpty():
-        raise ValueError(what)

@@ -1089,14 +1089,21 @@ def stream_source_freshness(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").where("source <> 'end'").groupBy("source").agg(F.max("newest").alias("newest"))
 
 
-@query(f">{_VERDICT_SQL} select model, {text('init_time')}, valid from verdict", "national")
-def stream_validate(spark, sf_dir):
+def _validated_stream(spark, sf_dir):
+    """National forecasts in three files, each run in all of them, one file a micro-batch."""
     from helioflow.streaming import jobs
 
     path = _fresh(spark)
     rows = _with_capacity(views.national(spark, sf_dir))
-    rows.repartition("model").write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(rows.schema).parquet(f"{path}/in")
-    write = jobs.validated_writer(lambda batch: v.validate(batch, F.col("capacity"), 25.0, 150.0, 14.5), f"{path}/out")
+    for k in range(3):
+        rows.where(F.pmod(F.hour("target_time"), F.lit(3)) == k).coalesce(1).write.parquet(f"{path}/in/{k}")
+    stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    write = jobs.validated_writer(lambda batch: v.validate(batch, F.col("capacity"), 25.0, 150.0, 14.5), f"{path}/out", f"{path}/store")
     stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{path}/out").select("model", "init_time", "valid")
+    return path
+
+
+@query(f">{_VERDICT_SQL} select model, {text('init_time')}, valid from verdict", "national")
+def stream_validate(spark, sf_dir):
+    """The last verdict of each run is that of all its rows."""
+    return spark.read.parquet(f"{_validated_stream(spark, sf_dir)}/out/verdicts").select("model", "init_time", "valid")

@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helioflow.functions.tables import small
+from helioflow.operators.validate import filter_bad
+from helioflow.sources.store import write_forecast
+
 
 def frame_quality(cells: DataFrame, lateness: str = "3 hours") -> DataFrame:
     """Share of zero cells by source and 5-minute frame; a frame is final when the watermark has passed it."""
@@ -20,12 +24,24 @@ def source_freshness(cells: DataFrame) -> DataFrame:
     return cells.groupBy("source").agg(F.max("time").alias("newest"))
 
 
-def validated_writer(validate: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: write the verdicts of a micro-batch of complete forecasts; a replayed batch replaces its own rows."""
+def validated_writer(validate: Callable[[DataFrame], DataFrame], path: str, forecasts: str | None = None) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: judge the runs that a micro-batch of national forecasts touches, on all their rows so far.
+
+    Rows are kept under ``path``/rows, so that a run that comes in several micro-batches is judged as a whole
+    and its last verdict, under ``path``/verdicts, replaces earlier ones; with ``forecasts``, valid runs
+    go to that store. A replayed batch replaces its own rows. Only days of the batch's runs are read back.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        verdicts = validate(batch).withColumn("batch_id", F.lit(batch_id))
-        verdicts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path)
+        spark = batch.sparkSession
+        dated = batch.withColumns({"init_date": F.to_date("init_time"), "batch_id": F.lit(batch_id)})
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("init_date", "batch_id").parquet(f"{path}/rows")
+        runs = dated.select("init_date", "model", "init_time").distinct()
+        rows = spark.read.parquet(f"{path}/rows").join(small(runs), ["init_date", "model", "init_time"], "left_semi").select(*batch.columns)
+        verdicts = validate(rows)
+        write_forecast(verdicts, f"{path}/verdicts")
+        if forecasts is not None:
+            write_forecast(filter_bad(rows, spark.read.parquet(f"{path}/verdicts").select("model", "init_time", "valid")), forecasts)
 
     return write
 

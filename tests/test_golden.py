@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from helioflow.functions.columns import solar_elevation
-from helioflow.operators import adjust
+from helioflow.operators import adjust, forecast, satellite
 from helioflow.operators import grid as g
 from helioflow.operators import timeline as t
 from helioflow.operators import validate as v
 from helioflow.sources import store
+from helioflow.streaming import jobs
 
 NOON = datetime(2025, 1, 1, 12)
 
@@ -174,3 +175,95 @@ def test_latest_init_looks_back_as_far_as_it_must(spark):
     assert found == {NOON: NOON, NOON + timedelta(minutes=1): NOON, NOON - timedelta(days=40): None, NOON + timedelta(days=900): NOON}
     fresh = {r["t0"]: r["init_time"] for r in t.latest_init_asof(t0s, inits, max_staleness=60).collect()}
     assert fresh[NOON + timedelta(days=900)] is None and fresh[NOON] == NOON
+
+
+def test_guards_name_what_is_wrong(spark):
+    """A run that can't go on fails and says why; the same calls without the guard return rows."""
+    t0s = spark.createDataFrame([(NOON,), (NOON + timedelta(hours=3),)], "t0 timestamp")
+    times = spark.createDataFrame([(NOON, 5, NOON - timedelta(minutes=5)), (NOON, 15, NOON)], "t0 timestamp, cadence int, time timestamp")
+    assert [(r["t0"], r["cadence"]) for r in t.choose_freshest(times).collect()] == [(NOON, 15)]
+    with pytest.raises(ValueError, match="no satellite source.*15:00"):
+        t.choose_freshest(times, t0s)
+    checks = spark.createDataFrame([("a", NOON, False), ("b", NOON, False)], "model string, t0 timestamp, ok boolean")
+    assert t.runnable(checks).where("runnable").count() == 0
+    with pytest.raises(ValueError, match="no model can run"):
+        t.runnable(checks, required=True)
+    verdicts = spark.createDataFrame([("a", NOON, False)], "model string, init_time timestamp, valid boolean")
+    rows = forecast_rows(spark, [NOON])
+    assert v.filter_bad(rows, verdicts).count() == 0
+    with pytest.raises(ValueError, match="no valid forecast"):
+        v.filter_bad(rows, verdicts, required=True)
+    uuids = spark.createDataFrame([(2, "u")], "location_id long, location_uuid string")
+    with pytest.raises(ValueError, match="without uuid: 1"):
+        store.with_uuid(rows, uuids)
+    cells = spark.createDataFrame([(1, 0.0), (1, 0.0), (2, 0.0), (2, 1.0), (3, float("nan"))], "frame int, value double")
+    with pytest.raises(ValueError, match="zero: 1$"):
+        g.require_not_zero(cells, ["frame"])
+    g.require_not_zero(cells.where("frame > 1"), ["frame"])
+
+
+def test_levels_that_are_missing(spark):
+    labels = ["forecast_mw", "forecast_mw_plevel_10", "forecast_mw_plevel_90"]
+    rows = [("a", NOON, k, NOON, label, 1.0) for k in (1, 2) for label in labels if (k, label) != (2, labels[2])]
+    frame = spark.createDataFrame(rows, "model string, init_time timestamp, location_id long, target_time timestamp, output_label string, value double")
+    assert forecast.select_levels(frame).count() == 5
+    assert forecast.select_levels(frame.where("location_id = 1"), required=True).count() == 3
+    with pytest.raises(ValueError, match="p90"):
+        forecast.select_levels(frame, required=True)
+
+
+def test_regrid_to_the_same_cells_changes_nothing(spark):
+    cells = spark.createDataFrame([(1, y, x, float(10 * y + x)) for y in range(3) for x in range(2)], "frame int, y long, x long, value double")
+    own = spark.createDataFrame([(100 + 2 * y + x, float(y), float(x)) for y in range(3) for x in range(2)], "target_id long, ty double, tx double")
+    same = g.regrid_unless_same(cells, own, 3, 2, ["frame"])
+    assert "Aggregate" not in same._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["target_id"]: r["value"] for r in same.collect()}
+    assert found == {100 + 2 * y + x: 10.0 * y + x for y in range(3) for x in range(2)}
+    moved = own.withColumn("ty", F.least(F.col("ty") + 0.5, F.lit(2.0)))
+    assert {r["target_id"]: r["value"] for r in g.regrid_unless_same(cells, moved, 3, 2, ["frame"]).collect()} == {100: 5.0, 101: 6.0, 102: 15.0, 103: 16.0, 104: 20.0, 105: 21.0}
+
+
+def test_backup_capacities_are_quoted_numbers(spark, tmp_path):
+    (tmp_path / "backup.csv").write_text('"gsp_id","capacity_mwp"\n"0","15000.5"\n"338","1.25"\n')
+    assert [tuple(r) for r in store.read_backup_capacities(spark, str(tmp_path / "backup.csv")).collect()] == [(0, 15000.5), (338, 1.25)]
+
+
+def test_satellite_repair(spark):
+    """The 5-minute source is fresher; one frame is missing; two hours without frames before t0 are extended."""
+    t0 = NOON
+    five = [x for x in minutes(-170, -120, 5, t0) if x != t0 + timedelta(minutes=-140)]
+    rows = [(5, x, y, float(y)) for x in five for y in (1, 2)] + [(15, x, y, 9.0) for x in minutes(-170, -125, 15, t0) for y in (1, 2)]
+    cells = spark.createDataFrame(rows, "cadence int, time timestamp, y int, value double")
+    t0s = spark.createDataFrame([(t0,)], "t0 timestamp")
+    done, valid = satellite.repair(cells, t0s, [(F.col("value") == 0, 0.1)], ["y"])
+    kinds = {k: sorted({r["time"] for r in done.where(F.col("kind") == k).collect()}) for k in ("seen", "filled", "extended")}
+    assert kinds == {"seen": five, "filled": [t0 + timedelta(minutes=-140)], "extended": minutes(-115, 0, 5, t0)}
+    assert valid.first()["valid_times"] == minutes(-170, -120, 5, t0)
+    assert done.where("kind = 'filled' and value = y").count() == 2 and done.where("kind = 'extended' and isnan(value)").count() == 48
+    bad, none = satellite.repair(cells.withColumn("value", F.lit(0.0)), t0s, [(F.col("value") == 0, 0.1)], ["y"])
+    assert bad.count() == none.count() == 0
+
+
+def test_features_of_a_sample(spark):
+    """Slices of three steps of a 2 x 2 window; the accumulated variable is differenced first and lacks its last step."""
+    cells = spark.createDataFrame([(k, s, y, x, float(100 * k + 10 * s * s + 3 * y + x)) for k in (0, 1) for s in range(5) for y in range(3) for x in range(3)], "variable long, step long, y long, x long, value double")
+    samples = spark.createDataFrame([("m", 4)], "model string, t0 long")
+    places = spark.createDataFrame([(7, 1, 1)], "location_id long, loc_y long, loc_x long")
+    constants = spark.createDataFrame([(0, 0.0, 1.0), (1, 10.0, 2.0)], "variable long, mean double, std double")
+    found = {r["variable"]: r["values"] for r in g.sample_features(cells, samples, places, constants, (2, 2), (2, 0), [1]).collect()}
+    assert found == {0: [10.0 * s * s + 3 * y + x for s in (2, 3, 4) for y in (0, 1) for x in (0, 1)], 1: [(10.0 * (2 * s + 1) - 10) / 2 for s in (2, 3) for _ in range(4)]}
+
+
+def test_stream_judges_split_runs_as_a_whole(spark, tmp_path):
+    """Each half of a run passes; together they zig-zag. Late halves replace the verdict."""
+    rows = [("z", NOON, NOON + timedelta(minutes=30 * k), float(x)) for k, x in enumerate([10, 900, 10, 900])] + [("s", NOON, NOON + timedelta(minutes=30 * k), 10.0) for k in range(4)]
+    frame = spark.createDataFrame(rows, "model string, init_time timestamp, target_time timestamp, mw double")
+    write = jobs.validated_writer(lambda batch: v.validate(batch, 2000.0, 250.0, 500.0, 90.0), str(tmp_path / "out"))
+    halves = [frame.where(F.minute("target_time") == m) for m in (0, 30)]
+    verdicts = lambda: {r["model"]: r["valid"] for r in spark.read.parquet(str(tmp_path / "out" / "verdicts")).collect()}
+    write(halves[0], 0)
+    assert verdicts() == {"z": True, "s": True}
+    write(halves[1], 1)
+    write(halves[1], 1)  # replayed
+    assert verdicts() == {"z": False, "s": True}
+    assert spark.read.parquet(str(tmp_path / "out" / "rows")).count() == 8
