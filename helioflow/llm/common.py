@@ -85,13 +85,19 @@ def strings(texts: pa.Array, chars: int = 1_000_000) -> Iterator[str | None]:
 
 
 def parts(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
+    """As ``arrow_parts``, made into Python strings."""
+    for part in arrow_parts(texts, chars):
+        yield part.to_pylist()
+
+
+def arrow_parts(texts: pa.Array, chars: int) -> Iterator[pa.Array]:
     """Parts of about ``chars`` bytes of an Arrow array of texts, to bound a worker's memory; none is empty."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = (sizes.cumsum() - sizes) // chars
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(texts)]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
-            yield texts.slice(a, b - a).to_pylist()
+            yield texts.slice(a, b - a)
 
 
 def unused(names: list[str], like: str = "own") -> str:

@@ -9,26 +9,27 @@ other underfull bins, each of which increases the squared fill.
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioflow.llm.common import cut, strings
+from helioflow.llm.common import arrow_parts, cut
 
 CAPACITY = 4096
 END_ID = 1
 SHARD_PIECES = 40_000
-#: What a worker remembers of chunks, in characters of text and in chunks; about 250 bytes each.
-CACHED_CHARS, CACHED_CHUNKS = 16_000_000, 600_000
+#: Bytes of text that a worker encodes at a time, and how many words and other chunks it remembers.
+PART, CACHED_WORDS = 2_000_000, 600_000
 #: Letters that are one word to this tokenizer, and marks that it always parts from letters before them.
-LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+LETTERS = r"^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 MARKS = ".,;:!?#$%&*"
 #: Bytes that the tokenizer's byte alphabet shows as themselves, as ranges (fixed values); the others are shown, in order, as the code points from 256 on.
 SHOWN = [(0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF)]
@@ -39,60 +40,86 @@ def byte_alphabet() -> dict[int, int]:
     return {b: 256 + k for k, b in enumerate(hidden)}
 
 
-class ChunkIds(dict):
-    """Ids, as little-endian bytes, of chunks of text between blanks; learnt when first asked for.
+class Encoder:
+    """Ids of texts by a tokenizer file, from those of their distinct words.
 
     This tokenizer never joins characters across white space, and parts marks from the letters
-    before them. The letters of a word go to its merges directly, in lower case; what is not
-    letters and then marks goes through the whole tokenizer.
+    before them. So texts are split at blanks into chunks and these into letters and marks, all as Arrow
+    arrays; each distinct word goes to the tokenizer's merges directly, in lower case. Chunks that are
+    not letters and then marks go through the whole tokenizer. Ids are then gathered by place.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.merges = self.tokenizer.model.tokenize
         self.alphabet = byte_alphabet()
-        self.words: dict[str, bytes] = {}
-        self.coded = [i.to_bytes(4, "little") for i in range(1 + max(self.tokenizer.get_vocab().values()))]
-        self.chars = 0
-
-    def __missing__(self, chunk: str) -> bytes:
-        word = chunk.rstrip(MARKS)
-        plain = word.isascii()
-        if word.isalpha() if plain else LETTERS.fullmatch(word):
-            lower = word.lower()
-            data = self.words.get(lower)
-            if data is None:
-                shown = lower if plain else lower.encode().decode("latin-1").translate(self.alphabet)
-                self.words[lower] = data = b"".join([self.coded[t.id] for t in self.merges(shown)])
-            if len(word) < len(chunk):
-                data += self[chunk[len(word):]]
-        else:
-            data = self.encoded(chunk)
-        self.chars += len(chunk)
-        self[chunk] = data
-        return data
-
-    def encoded(self, text: str) -> bytes:
-        return b"".join([self.coded[i] for i in self.tokenizer.encode(text, add_special_tokens=False).ids])
-
-    def of(self, text: str) -> bytes:
-        if self.chars > CACHED_CHARS or len(self) > CACHED_CHUNKS:
-            self.clear()
-            self.words.clear()
-            self.chars = 0
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
-
-
-_loaded: dict[str, ChunkIds] = {}
-
-
-def chunk_ids(path: str) -> ChunkIds:
+        self.words: dict[str, list[int]] = {}
+        self.others: dict[str, list[int]] = {}
+
+    def word(self, word: str) -> list[int]:
+        ids = self.words.get(word)
+        if ids is None:
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+            self.words[word] = ids = [t.id for t in self.merges(shown)]
+        return ids
+
+    def other(self, chunk: str) -> list[int]:
+        ids = self.others.get(chunk)
+        if ids is None:
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            if len(chunk) < 100:
+                self.others[chunk] = ids
+        return ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's begin, with the end of the last."""
+        for kept in (self.words, self.others):
+            if len(kept) > CACHED_WORDS:
+                kept.clear()
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        chunks = split.flatten().dictionary_encode()
+        distinct = chunks.dictionary
+        letters = pc.utf8_rtrim(distinct, characters=MARKS)
+        plain = pc.match_substring_regex(letters, LETTERS).to_numpy(zero_copy_only=False)
+        marks = (pc.binary_length(distinct).to_numpy() - pc.binary_length(letters).to_numpy()).astype(np.int64)
+        # Each chunk is one or two parts, numbers of what is in `found`; part 0 is none.
+        found: list[list[int]] = [[]]
+        first, second = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+
+        def number(places: np.ndarray, strings: pa.Array, ids: Callable[[str], list[int]], into: np.ndarray) -> None:
+            coded = strings.dictionary_encode()
+            into[places] = coded.indices.to_numpy() + len(found)
+            found.extend(map(ids, coded.dictionary.to_pylist()))
+
+        words = np.flatnonzero(plain)
+        number(words, pc.utf8_lower(letters.take(pa.array(words))), self.word, first)
+        rest = np.flatnonzero(~plain)
+        number(rest, distinct.take(pa.array(rest)), self.other, first)
+        for n in np.unique(marks[words]):
+            if n:
+                own = words[marks[words] == n]
+                number(own, pc.utf8_slice_codeunits(distinct.take(pa.array(own)), -int(n), None), self.other, second)
+
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter(chain.from_iterable(found), np.uint32, sizes.sum())
+        begins = np.cumsum(sizes) - sizes
+        at = chunks.indices.to_numpy()
+        parts = np.stack([first[at], second[at]], axis=1).ravel()
+        lengths = sizes[parts]
+        ends = np.cumsum(lengths)
+        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins[parts] - ends + lengths, lengths)]
+        return ids, np.concatenate([[0], ends])[2 * (split.offsets.to_numpy() - split.offsets[0].as_py())]
+
+
+_loaded: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
     """The worker's tokenizer of the file at ``path``, with what it remembers."""
     if path not in _loaded:
-        _loaded[path] = ChunkIds(path)
+        _loaded[path] = Encoder(path)
     return _loaded[path]
 
 
@@ -101,16 +128,18 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
 
     Null text counts as empty: a piece with the end id alone. Only the text goes through Python.
     """
-    end, shape = end_id.to_bytes(4, "little"), "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
+    end, shape = np.array([end_id], np.uint32), "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint>>"
 
     def cut_up(texts: pa.Array) -> pa.Array:
-        ids, sizes, rows = chunk_ids(tokenizer_path), [0], []
-        for text in strings(texts):
-            data = ids.of(text or "") + end
-            for k, at in enumerate(range(0, len(data), 4 * capacity)):
-                part = data[at : at + 4 * capacity]
-                rows.append((k, at // 4, len(part) // 4, zlib.crc32(part)))
-            sizes.append(len(rows))
+        sizes, rows = [0], []
+        for part in arrow_parts(texts, PART):
+            ids, begins = encoder(tokenizer_path).encode(part)
+            for a, b in zip(begins, begins[1:], strict=False):
+                own = np.concatenate([ids[a:b], end])
+                for k, at in enumerate(range(0, len(own), capacity)):
+                    piece = own[at : at + capacity]
+                    rows.append((k, at, len(piece), zlib.crc32(piece.astype("<u4").tobytes())))
+                sizes.append(len(rows))
         columns = list(zip(*rows, strict=True)) or [[]] * 4
         kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
         each = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
