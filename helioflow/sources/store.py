@@ -54,6 +54,13 @@ def read_grid(
     return grid.drop("frame")
 
 
+def stored_times(spark: SparkSession, path: str) -> DataFrame:
+    """``provider, time`` of the stored frames, from the folders' names: no column of the cells is read."""
+    named = spark.read.parquet(path).select("provider", "date", "frame").distinct()
+    time = F.to_timestamp(F.concat_ws(" ", F.col("date").cast("string"), F.substring("frame", 2, 6)), "yyyy-MM-dd HHmmss")
+    return named.select("provider", time.alias("time"))
+
+
 def read_backup_capacities(spark: SparkSession, path: str) -> DataFrame:
     """CSV with quoted numbers, read by a fixed schema."""
     return spark.read.schema(BACKUP_SCHEMA).option("header", True).csv(path)

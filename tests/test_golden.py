@@ -161,6 +161,9 @@ def test_grid_keeps_every_frame(spark, tmp_path):
     store.write_grid(cells(NOON + timedelta(days=1), "full"), path, "satellite")
     every = store.read_grid(spark, path)
     assert every.count() == 12 and sorted({r["time"] for r in every.where("provider = 'rapid'").collect()}) == times
+    named = store.stored_times(spark, path)
+    assert sorted(map(tuple, named.collect())) == [("full", NOON + timedelta(days=1)), *(("rapid", x) for x in times)]
+    assert "ReadSchema: struct<>" in named._jdf.queryExecution().executedPlan().toString()
     one = store.read_grid(spark, path, provider="rapid", start=times[1], stop=times[1], tile_y=(1, 1))
     assert sorted((r["time"], r["y"]) for r in one.collect()) == [(times[1], 150)] * 2
     plan = one._jdf.queryExecution().executedPlan().toString()
@@ -223,6 +226,11 @@ def test_regrid_to_the_same_cells_changes_nothing(spark):
     assert {r["target_id"]: r["value"] for r in g.regrid_unless_same(cells, moved, 3, 2, ["frame"]).collect()} == {100: 5.0, 101: 6.0, 102: 15.0, 103: 16.0, 104: 20.0, 105: 21.0}
 
 
+def test_forecast_part_of_an_axis(spark):
+    row = spark.createDataFrame([([0.1, 0.2, 0.3, 0.4],)], "axis array<double>")
+    assert row.select(forecast.forecast_part(F.col("axis"), 3)).first()[0] == [0.2, 0.3, 0.4]
+
+
 def test_backup_capacities_are_quoted_numbers(spark, tmp_path):
     (tmp_path / "backup.csv").write_text('"gsp_id","capacity_mwp"\n"0","15000.5"\n"338","1.25"\n')
     assert [tuple(r) for r in store.read_backup_capacities(spark, str(tmp_path / "backup.csv")).collect()] == [(0, 15000.5), (338, 1.25)]
