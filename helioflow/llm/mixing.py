@@ -45,6 +45,8 @@ HEAD_WORDS = 200_000
 END = b""  # no word is empty: this stands for a text's end
 #: Step sizes of the gradient, for spelling and for texts.
 RATE, TEXT_RATE = 0.02, 0.015
+#: Characters of text that a worker scores at a time: small arrays stay in the cache.
+PART = 150_000
 #: Words of a text after which its weights are moved.
 BLOCK = 64
 #: So many earlier words does the corpus weigh as much as, in the two predictions from the text so far.
@@ -445,7 +447,7 @@ def scores(docs: DataFrame, modulus: int = 7) -> DataFrame:
         model = shared.value
         escape = len(model.head)
         serial = TaskContext.get().partitionId() << 40
-        for rows in slices(frames, "text", 500_000):
+        for rows in slices(frames, "text", PART):
             texts = [tokens(t if isinstance(t, str) else None) for t in rows["text"]]
             sizes = np.array([len(t) for t in texts])
             flat = [w for t in texts for w in t]
