@@ -992,10 +992,14 @@ def run_metadata(spark, sf_dir):
 
 
 def _fresh(spark) -> str:
-    """A new folder beside the warehouse, which the cluster shares."""
+    """A new folder in the one that the cluster shares for checkpoints, or beside the warehouse; the driver removes it when it ends."""
     import uuid
 
-    return f"{(spark.conf.get('spark.checkpoint.dir', None) or spark.conf.get('spark.sql.warehouse.dir')).rstrip('/')}/helioflow-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{shared.rstrip('/')}/helioflow-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def _quarter_days(spark, sf_dir):
