@@ -92,7 +92,7 @@ def key_filter(keys: DataFrame) -> KeyFilter:
         each = np.stack([_place(own, k, log) for k in range(len(_PLACES))], axis=1).astype(np.int64).ravel()
         return pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * len(_PLACES)), pa.array(each))
 
-    place = keys.select(F.explode(F.arrow_udf(places, "array<bigint>")("h")).alias("place"))
+    place = keys.select(F.explode(F.arrow_udf(places, "array<bigint>").asNondeterministic()("h")).alias("place"))
     bit = F.expr("shiftleft(1L, cast(place & 63 as int))")
     found = place.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
     words = np.zeros(1 << (log - 6), np.uint64)

@@ -145,7 +145,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         each = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
         return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(each, names=["piece", "start", "length", "ids_crc32"]))
 
-    cut = F.arrow_udf(cut_up, shape)
+    # Else Spark asks first, by a second run, whether there is anything to inline.
+    cut = F.arrow_udf(cut_up, shape).asNondeterministic()
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), cut(F.col("text").cast("string")).alias("pieces"))
     return found.select("doc_id", F.inline("pieces"))
 
