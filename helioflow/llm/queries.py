@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioflow.llm import decontam, langid, licenses, line_dedup, mixing, packing, secret_scan, simhash, site_quality, weak_rules
+from helioflow.llm import decontam, langid, licenses, line_dedup, mixing, packing, prefix_trie, secret_scan, simhash, site_quality, weak_rules
 from helioflow.llm.common import held_out, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,6 +69,12 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A conversation begins with up to five turns of the first one of its hundred."""
+    turns = read(spark, sf_dir, "conversations")
+    return prefix_trie.prefix_trie(turns, lambda c: c - c % 100, lambda c: F.crc32(c.cast("string")) % 6, 5).drop("ref_conv", "ref_turn")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +83,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
-        op1_licenses, op2_language, op3_simhash, op4_site_quality, op5_mixing, op6_line_dedup, op7_packing, op8_decontam, op9_weak_rules, op10_secrets, pipeline,
+        op1_licenses, op2_language, op3_simhash, op4_site_quality, op5_mixing, op6_line_dedup, op7_packing, op8_decontam, op9_weak_rules, op10_secrets,
+        op12_prefix_trie, pipeline,
     ]
     return {f.__name__: f for f in own}
 
@@ -86,15 +93,15 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP8_SQL = rf"""
 with d as (
-  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+  select doc_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+') if x <> ''] as w
   from documents where doc_id is not null
 ), b as (
-  select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+  select item_id, [x for x in regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+') if x <> ''] as w
   from benchmark where item_id is not null
 ), ds as (
-  select distinct doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), i -> array_to_string(w[i:i + 4], ' '))) as s from d where len(w) > 0
+  select distinct doc_id, unnest([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(len(w) - 3, 2))]) as s from d where len(w) > 0
 ), bs as (
-  select distinct item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), i -> array_to_string(w[i:i + 4], ' '))) as s from b where len(w) > 0
+  select distinct item_id, unnest([array_to_string(w[i:i + 4], ' ') for i in range(1, greatest(len(w) - 3, 2))]) as s from b where len(w) > 0
 ), n as (
   select item_id, count(*) as n_shingles from bs group by item_id
 )
@@ -105,5 +112,36 @@ having count(*) / n_shingles >= {decontam.THRESHOLD}
 """
 
 
+#: CRC-32 of the decimal id bit by bit; lists of turns are the nodes.
+OP12_SQL = """
+with recursive ids as (select distinct conv_id as c, cast(conv_id as varchar) as s from conversations where conv_id is not null),
+crc as (
+  select c, s, cast(4294967295 as bigint) as v, 0 as k from ids union all
+  select c, s, case when x % 2 = 1 then xor(x >> 1, cast(3988292384 as bigint)) else x >> 1 end, k + 1
+  from (select c, s, k, case when k % 8 = 0 then xor(v, cast(ord(s[k // 8 + 1]) as bigint)) else v end as x from crc where k < 8 * len(s))
+), heads as (
+  select c, c - c % 100 as b, xor(v, cast(4294967295 as bigint)) % 6 as h from crc where k = 8 * len(s)
+), t as (
+  select conv_id as c, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as i from conversations where conv_id is not null
+), r as (
+  select h.c, 0 as own, i, role, text from heads h join t on t.c = h.b and i <= h union all select h.c, 1, i, role, text from heads h join t on t.c = h.c and i > h
+), n as (
+  select c, row_number() over (partition by c order by own, i) as d, struct_pack(role := role, text := text) as turn from r
+), p as (
+  select c, d, list(turn) over (partition by c order by d) as path from n union all select c, 0, [] from ids
+), q as (select *, max(d) over (partition by c) as n from p),
+v as (
+  select path, any_value(d) as d, min(c) as conv_id, count(*) as n_convs, case when any_value(d) = 0 then 0 else length(any_value(path)[-1].text) end as chars,
+    sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (where d = n), '')) as ends_sha256 from q group by path
+), up as (select u.conv_id, u.d, v.conv_id as parent_conv_id from v u join v on v.path = u.path[1:u.d - 1] and u.d > 0),
+kids as (select parent_conv_id as conv_id, d - 1 as d, count(*) as n_children from up group by 1, 2),
+full_v as (select v.*, coalesce(n_children, 0) as n_children, parent_conv_id from v left join kids using (conv_id, d) left join up using (conv_id, d))
+select v.conv_id, v.d as depth, any_value(v.parent_conv_id) as parent_conv_id, any_value(v.n_convs) as n_convs, any_value(v.n_children) as n_children,
+  count(*) filter (where u.n_children = 0) as n_leaves, cast(sum((u.n_convs - 1) * u.chars) as bigint) as saved_tokens, any_value(v.ends_sha256) as ends_sha256
+from full_v v join full_v u on u.d >= v.d and u.path[1:v.d] = v.path group by v.conv_id, v.d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontam": OP8_SQL}
+    return {"op8_decontam": OP8_SQL, "op12_prefix_trie": OP12_SQL}
