@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helioflow.llm import decontam, langid, licenses, line_dedup, mixing, packing, prefix_trie, secret_scan, simhash, site_quality, weak_rules
+from helioflow.llm import cover_tree, decontam, hard_negatives, langid, licenses, line_dedup, mixing, packing, prefix_trie, secret_scan, simhash, site_quality, weak_rules
 from helioflow.llm.common import held_out, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -69,12 +69,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A conversation begins with up to five turns of the first one of its hundred."""
     turns = read(spark, sf_dir, "conversations")
     return prefix_trie.prefix_trie(turns, lambda c: c - c % 100, lambda c: F.crc32(c.cast("string")) % 6, 5).drop("ref_conv", "ref_turn")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fiftieth row is an anchor; every seventh has another label."""
+    rows = read(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(moved, F.col("id") % 50 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_licenses, op2_language, op3_simhash, op4_site_quality, op5_mixing, op6_line_dedup, op7_packing, op8_decontam, op9_weak_rules, op10_secrets,
-        op12_prefix_trie, pipeline,
+        op11_cover_tree, op12_prefix_trie, op13_hard_negatives, pipeline,
     ]
     return {f.__name__: f for f in own}
 
@@ -112,6 +123,20 @@ having count(*) / n_shingles >= {decontam.THRESHOLD}
 """
 
 
+OP11_SQL = f"""
+with recursive v as (
+  select row_number() over () as r, vec_id, label, x as x
+  from (select vec_id, label, [cast(y as double) for y in embedding] as x from embeddings)
+), good as (select * from v where label is not null and len(x) > 0 and len([y for y in x if isfinite(y)]) = len(x) and len([y for y in x if y <> 0]) > 0),
+links as (
+  select a.r as a, b.r as b, b.vec_id from good a join good b on a.label = b.label and a.r <> b.r and len(a.x) = len(b.x) where list_cosine_similarity(a.x, b.x) >= {cover_tree.THRESHOLD}
+), reach as (select r as a, r as b from v union select reach.a, links.b from reach join links on reach.b = links.a),
+least as (select a, min(vec_id) as component_id from reach join v on v.r = reach.b group by a),
+n as (select a, count(*) as n_links from links group by a)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, coalesce(vec_id = component_id, component_id is null) as kept
+from v left join n on n.a = r left join least on least.a = r
+"""
+
 #: CRC-32 of the decimal id bit by bit; lists of turns are the nodes.
 OP12_SQL = """
 with recursive ids as (select distinct conv_id as c, cast(conv_id as varchar) as s from conversations where conv_id is not null),
@@ -143,5 +168,22 @@ from full_v v join full_v u on u.d >= v.d and u.path[1:v.d] = v.path group by v.
 """
 
 
+OP13_SQL = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, [floor(256 * cast(x as double)) for x in embedding] as q
+  from embeddings where vec_id is not null and label is not null and len([x for x in embedding if isfinite(x)]) = len(embedding)
+), s as (
+  select a.vec_id as anchor_id, v.vec_id, v.label = a.label as same, cast(list_inner_product(a.q, v.q) as bigint) as score
+  from v a join v on a.vec_id <> v.vec_id and len(a.q) = len(v.q) where a.vec_id % 50 = 0
+), p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+), n as (
+  select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as rank, vec_id as negative_id, positive_score, score as negative_score
+  from p join s using (anchor_id) where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from n where rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontam": OP8_SQL, "op12_prefix_trie": OP12_SQL}
+    return {"op8_decontam": OP8_SQL, "op11_cover_tree": OP11_SQL, "op12_prefix_trie": OP12_SQL, "op13_hard_negatives": OP13_SQL}
