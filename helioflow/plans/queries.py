@@ -6,7 +6,7 @@ Times are shown as text, so that engines agree on them; whole numbers are long.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -1002,32 +1002,52 @@ def _fresh(spark) -> str:
     return path
 
 
-def _quarter_days(spark, sf_dir):
-    """Frames of six hours; the cells are the times in them."""
-    placed = views.provider_frames(spark, sf_dir).withColumns({"variable": F.lit(1), "y": F.minute("time") * 4, "x": F.hour("time") * 12})
-    return placed.withColumn("time", floor_minutes(F.col("time"), 360))
+def _hours(spark, sf_dir):
+    """Frames of an hour; the cells are the times in them, apart from each other by some."""
+    placed = views.provider_frames(spark, sf_dir).withColumns({"variable": F.lit(1), "y": F.minute("time"), "x": F.minute("time") * 3 % 41})
+    return placed.withColumn("time", floor_minutes(F.col("time"), 60))
 
 
-@query(f"select provider, {text('time')}, y, x, value, x // 100 as tile_x from (select provider, time_bucket(interval '6 hours', time) as time, date_part('minute', time) * 4 as y, date_part('hour', time) * 12 as x, value from provider_frames)", "provider_frames")
+_HOURS_SQL = ">cells as (select provider, time_bucket(interval '1 hour', time) as time, date_part('minute', time) as y, date_part('minute', time) * 3 % 41 as x, value from provider_frames)"
+
+
+@query(
+    f"""{_HOURS_SQL} select provider, {text("time")}, y, x, case when provider = 'view' and date_part('hour', time) = 7 and y <= 30 then value * 2 else value end as value, x // 50 as tile_x from cells
+    where not (provider = 'view' and date_part('hour', time) = 7 and y > 30 and (provider, time) in (select (provider, time) from cells where y <= 30))""",
+    "provider_frames",
+)
 def write_grid_roundtrip(spark, sf_dir):
-    """Frames of one day come in two writes, one of them twice."""
+    """Frames of one day come in two writes; then late ones of one hour a day take the place of what was there."""
     path = _fresh(spark)
-    cells = _quarter_days(spark, sf_dir)
+    cells = _hours(spark, sf_dir)
     early = F.hour("time") < 12
-    for part in (cells.where(early), cells.where(~early), cells.where(early)):
-        store.write_grid(part, path, "satellite")
+    late = cells.where((F.col("provider") == "view") & (F.hour("time") == 7) & (F.col("y") <= 30)).withColumn("value", F.col("value") * 2)
+    for part in (cells.where(early), cells.where(~early), late):
+        store.write_grid(part, path, "ecmwf")
     return store.read_grid(spark, path).select("provider", "time", "y", "x", "value", "tile_x")
 
 
-@query(f"select provider, {text('time')}, y, x, value, x // 100 as tile_x from (select provider, time_bucket(interval '6 hours', time) as time, date_part('minute', time) * 4 as y, date_part('hour', time) * 12 as x, value from provider_frames) where provider = 'view' and time between (select time_bucket(interval '6 hours', min(time)) + interval 30 hour from provider_frames) and (select time_bucket(interval '6 hours', min(time)) + interval 200 hour from provider_frames) and x // 100 = 1", "provider_frames")
+@query(
+    f"""{_HOURS_SQL}, first as (select min(time) as t from cells) select provider, {text("time")}, y, x, value, x // 50 as tile_x from cells
+    where provider = 'view' and time between (select t + interval 30 hour from first) and (select t + interval 200 hour from first) and y between 10 and 45 and x between 5 and 30""",
+    "provider_frames",
+)
 def read_grid_pruned(spark, sf_dir):
-    """One provider, a span of time and a column of tiles: folders and tiles that aren't asked for are not read."""
+    """One provider, a span of time and a box: folders and tiles that aren't asked for are not read, and cells are cut out of arrays."""
+    path = _fresh(spark)
+    cells = _hours(spark, sf_dir)
+    store.write_grid(cells, path, "ecmwf")
+    first = cells.agg(F.unix_micros(F.min("time"))).first()[0]
+    hours = lambda n: datetime(1970, 1, 1) + timedelta(microseconds=first, hours=n)
+    return store.read_grid(spark, path, "view", hours(30), hours(200), box=((10, 45), (5, 30)), layout="ecmwf").select("provider", "time", "y", "x", "value", "tile_x")
+
+
+@query(f"select provider, {text('time')} from (select distinct provider, time_bucket(interval '1 hour', time) as time from provider_frames)", "provider_frames")
+def stored_times(spark, sf_dir):
+    """The frames of a stored grid, without reading its cells."""
     path = _fresh(spark)
-    cells = _quarter_days(spark, sf_dir)
-    store.write_grid(cells, path, "satellite")
-    first = cells.agg(F.min("time")).first()[0]
-    hours = lambda n: first + timedelta(hours=n)
-    return store.read_grid(spark, path, None, "view", hours(30), hours(200), tile_x=(1, 1)).select("provider", "time", "y", "x", "value", "tile_x")
+    store.write_grid(_hours(spark, sf_dir), path, "ecmwf")
+    return store.stored_times(spark, path)
 
 
 _TWO_INITS = ">runs as (select * from forecast union all select model, init_time + interval 30 minute, location_id, target_time + interval 30 minute, mw * 2 from forecast)"
@@ -1041,7 +1061,7 @@ def write_forecast_roundtrip(spark, sf_dir):
     later = rows.withColumns({"init_time": plus_minutes(F.col("init_time"), 30), "target_time": plus_minutes(F.col("target_time"), 30), "mw": F.col("mw") * 2})
     for part in (rows, later, rows.where("model = 'view'")):
         store.write_forecast(part, path)
-    return spark.read.parquet(path).select("model", "init_time", "location_id", "target_time", "mw")
+    return store.read_forecast(spark, path).select("model", "init_time", "location_id", "target_time", "mw")
 
 
 @query(f"select model, {text('init_time')}, location_id, {text('target_time')}, mw from forecast where model = (select min(model) from forecast)", "forecast")
@@ -1110,4 +1130,28 @@ def _validated_stream(spark, sf_dir):
 @query(f">{_VERDICT_SQL} select model, {text('init_time')}, valid from verdict", "national")
 def stream_validate(spark, sf_dir):
     """The last verdict of each run is that of all its rows."""
-    return spark.read.parquet(f"{_validated_stream(spark, sf_dir)}/out/verdicts").select("model", "init_time", "valid")
+    from helioflow.streaming import jobs
+
+    return jobs.latest_verdicts(spark.read.parquet(f"{_validated_stream(spark, sf_dir)}/out/verdicts")).select("model", "init_time", "valid")
+
+
+@query(f">{_VERDICT_SQL} select model, {text('init_time')}, {text('target_time')}, mw from national where (model, init_time) in (select (model, init_time) from verdict where valid)", "national")
+def stream_published(spark, sf_dir):
+    """What is left in the store: runs that were valid in an earlier micro-batch and aren't any more are gone from it."""
+    return store.read_forecast(spark, f"{_validated_stream(spark, sf_dir)}/store").select("model", "init_time", "target_time", "mw")
+
+
+@query(f""">newest as (select event_type as source, max(ts) as newest from events group by 1) select source, strftime(newest + to_minutes(5 * unnest(range(1, 37))), '{DAY}') as time, true as is_nan from newest""".replace(">", "with ", 1))
+def stream_late_frames(spark, sf_dir):
+    """NaN frames up to three hours after each source's newest one, given by timers as the watermark passes."""
+    from helioflow.streaming import jobs
+
+    rows, path = _stream(spark, sf_dir)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        jobs.run_available(jobs.late_frames(rows.select("source", "time")), f"{path}/out", f"{path}/state")
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.schema("source string, time timestamp, is_nan boolean").parquet(f"{path}/out").where("source <> 'end'")

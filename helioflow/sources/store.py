@@ -2,63 +2,150 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helioflow.functions.columns import plus_minutes
+from helioflow.functions.columns import epoch_minutes, plus_minutes
 from helioflow.functions.tables import require_none, small
 
-#: Tile edge, in cells, of stored grids.
-TILES = {"satellite": 100, "ukv": 100, "ecmwf": 50, "cloudcasting": 100}
+#: Tile edge in cells, frames of a chunk (0: all of a day), and minutes between frames, of stored grids.
+LAYOUTS = {"satellite": (100, 6, 5), "ukv": (100, 10, 60), "ecmwf": (50, 10, 60), "cloudcasting": (100, 0, 15)}
 BACKUP_SCHEMA = "gsp_id int, capacity_mwp double"
+_FRAME = "struct<time: timestamp, y0: int, x0: int, h: int, w: int, places: array<int>, values: array<double>>"
+CHUNK_SCHEMA = f"span long, variable string, tile_y int, tile_x int, frames array<{_FRAME}>, provider string, date date"
+_DAY = ["provider", "date"]
+_TILE = [*_DAY, "span", "variable", "tile_y", "tile_x"]
 
 
-def write_grid(grid: DataFrame, path: str, provider: str, parts: int | None = None) -> None:
-    """Replace what is stored of the grid's frames, cut into tiles; other frames stay.
+def utc_date(ts: Column) -> Column:
+    """The date in UTC, whatever the session's time zone."""
+    return F.date_from_unix_date(F.floor(epoch_minutes(ts) / 1440).cast("int"))
 
-    A frame of one provider is a folder, so that a later frame of the same day leaves earlier ones alone.
+
+def to_chunks(grid: DataFrame, layout: str) -> DataFrame:
+    """Rows of cells (``provider, time, variable, y, x, value``) as tiles: a row is a tile of one variable over a few frames.
+
+    A frame's values are one array in the order of (y, x) over the box ``y0, x0, h, w`` that it fills; if cells of
+    that box are absent, ``places`` says where the values are. A tile has 100 x 100 cells at most.
+    """
+    tile, frames, step = LAYOUTS[layout]
+    minutes = frames * step or 1440
+    at = F.floor(epoch_minutes(F.col("time")) / minutes)
+    placed = grid.select(
+        "provider", utc_date(F.col("time")).alias("date"), at.alias("span"), F.col("variable").cast("string").alias("variable"), (F.floor(F.col("y") / tile)).cast("int").alias("tile_y"),
+        (F.floor(F.col("x") / tile)).cast("int").alias("tile_x"), "time", F.col("y").cast("int").alias("y"), F.col("x").cast("int").alias("x"), F.col("value").cast("double").alias("value"),
+    )
+    size = lambda c: (F.max(c) - F.min(c) + 1).alias("h" if c == "y" else "w")
+    boxed = placed.groupBy(*_TILE, "time").agg(F.min("y").alias("y0"), F.min("x").alias("x0"), size("y"), size("x"), F.array_sort(F.collect_list(F.struct("y", "x", "value"))).alias("cells"))
+    places = F.transform("cells", lambda c: (c["y"] - F.col("y0")) * F.col("w") + c["x"] - F.col("x0"))
+    full = F.col("places") == F.sequence(F.lit(0), F.col("h") * F.col("w") - 1)
+    framed = boxed.withColumn("places", places).select(*_TILE, F.struct("time", "y0", "x0", "h", "w", F.when(~full, F.col("places")).alias("places"), F.transform("cells", lambda c: c["value"]).alias("values")).alias("frame"))
+    return framed.groupBy(*_TILE).agg(F.array_sort(F.collect_list("frame")).alias("frames"))
+
+
+def write_grid(grid: DataFrame, path: str, layout: str, parts: int | None = None) -> None:
+    """Replace what is stored of the grid's frames (provider and time); other frames stay.
+
+    A provider's UTC date is a folder of chunks. A late frame takes its place in its chunk: the chunks of the dates that
+    the grid touches are read, lose the grid's frames, gain the new ones and replace their folders.
     """
-    tile = TILES[provider]
-    tiled = grid.withColumns({
-        "variable": F.col("variable").cast("string"), "date": F.to_date("time"), "frame": F.date_format("time", "'T'HHmmss"),
-        "tile_y": F.floor(F.col("y") / tile).cast("int"), "tile_x": F.floor(F.col("x") / tile).cast("int"),
-    })
-    keys = ["provider", "date", "frame"]
-    dealt = tiled.repartition(parts, *keys, "tile_y", "tile_x") if parts else tiled.repartition(*keys, "tile_y", "tile_x")
-    dealt.sortWithinPartitions(*keys, "tile_y", "tile_x").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    spark, new = grid.sparkSession, to_chunks(grid, layout)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        times = grid.select("provider", utc_date(F.col("time")).alias("date"), "time").distinct()
+        gone = times.groupBy(*_DAY).agg(F.collect_list("time").alias("gone"))
+        old = spark.read.schema(CHUNK_SCHEMA).parquet(path).join(gone, _DAY)
+        left = old.withColumn("frames", F.filter("frames", lambda f: ~F.array_contains(F.col("gone"), f["time"]))).where(F.size("frames") > 0)
+        both = left.select(*new.columns).unionByName(new).groupBy(*_TILE).agg(F.flatten(F.collect_list("frames")).alias("frames"))
+        new = both.withColumn("frames", F.array_sort("frames"))
+    dealt = new.repartition(parts, *_DAY, "span") if parts else new.repartition(*_DAY)
+    dealt.sortWithinPartitions(*_TILE).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*_DAY).parquet(path)
+
+
+def _folders(spark: SparkSession, path: str, provider: str | None, start: datetime | None, stop: datetime | None) -> list[str]:
+    """The stored date folders of a provider in a span of time: only their parents are listed."""
+    names = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/provider={provider or '*'}/date=*")
+    found = [str(x.getPath()) for x in names.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(names)]
+    day = lambda at: (at if at.tzinfo is None else at.astimezone(timezone.utc)).strftime("%Y-%m-%d")
+    dates = {x: x.rsplit("date=", 1)[1] for x in found}
+    return [x for x in found if (start is None or dates[x] >= day(start)) and (stop is None or dates[x] <= day(stop))]
+
+
+def read_chunks(spark: SparkSession, path: str, provider: str | None = None, start: datetime | None = None, stop: datetime | None = None) -> DataFrame:
+    """Stored chunks of a provider, with their frames from ``start`` to ``stop`` (UTC, if they name no zone), ends included.
+
+    Dates are folders that are not listed if they aren't asked for; frames are cut out of the chunks.
+    """
+    reader = spark.read.schema(CHUNK_SCHEMA).option("basePath", path)
+    folders = _folders(spark, path, provider, start, stop) if start or stop or provider else [path]
+    chunks = reader.parquet(*folders) if folders else spark.createDataFrame([], CHUNK_SCHEMA)
+    for bound, after in ((start, True), (stop, False)):
+        if bound is not None:
+            aware = bound if bound.tzinfo else bound.replace(tzinfo=timezone.utc)
+            at = F.timestamp_micros(F.lit((aware - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)))
+            chunks = chunks.withColumn("frames", F.filter("frames", lambda f: f["time"] >= at if after else f["time"] <= at))  # noqa: B023
+    return chunks.where(F.size("frames") > 0) if start or stop else chunks
+
+
+def crop(chunks: DataFrame, y: tuple[int, int], x: tuple[int, int]) -> DataFrame:
+    """Chunks cut to the cells from ``y[0]`` to ``y[1]`` and ``x[0]`` to ``x[1]``, ends included, by slices of their arrays."""
+
+    def cut(f: Column) -> Column:
+        top, left = F.greatest(f["y0"], F.lit(y[0])), F.greatest(f["x0"], F.lit(x[0]))
+        h = F.least(f["y0"] + f["h"], F.lit(y[1] + 1)) - top
+        w = F.least(f["x0"] + f["w"], F.lit(x[1] + 1)) - left
+        rows = F.when((h > 0) & (w > 0), F.sequence(top - f["y0"], top - f["y0"] + F.greatest(h, F.lit(1)) - 1)).otherwise(F.array().cast("array<int>"))
+        whole = F.flatten(F.transform(rows, lambda r: F.slice(f["values"], r * f["w"] + left - f["x0"] + 1, F.greatest(w, F.lit(0)))))
+        inside = lambda p: F.floor(p / f["w"]).between(top - f["y0"], top - f["y0"] + h - 1) & (p % f["w"]).between(left - f["x0"], left - f["x0"] + w - 1)
+        some = F.filter(F.arrays_zip(f["places"].alias("p"), f["values"].alias("v")), lambda z: inside(z["p"]))
+        moved = F.transform(some, lambda z: ((F.floor(z["p"] / f["w"]) - (top - f["y0"])) * w + z["p"] % f["w"] - (left - f["x0"])).cast("int"))
+        dense = f["places"].isNull()
+        return F.struct(
+            f["time"].alias("time"), top.alias("y0"), left.alias("x0"), h.alias("h"), w.alias("w"), F.when(~dense, moved).alias("places"), F.when(dense, whole).otherwise(F.transform(some, lambda z: z["v"])).alias("values")
+        )
+
+    cropped = chunks.withColumn("frames", F.filter(F.transform("frames", cut), lambda f: F.size(f["values"]) > 0))
+    return cropped.where(F.size("frames") > 0)
+
+
+def cells_of(chunks: DataFrame) -> DataFrame:
+    """Chunks as rows of cells: ``provider, time, variable, y, x, value, tile_y, tile_x``."""
+    frames = chunks.select("provider", "variable", "tile_y", "tile_x", F.explode("frames").alias("f"))
+    each = frames.select("*", F.posexplode("f.values").alias("i", "value")).withColumn("p", F.coalesce(F.get("f.places", F.col("i")), F.col("i")))
+    y, x = (F.col("f.y0") + F.floor(F.col("p") / F.col("f.w"))).cast("long"), (F.col("f.x0") + F.col("p") % F.col("f.w")).cast("long")
+    return each.select("provider", F.col("f.time").alias("time"), "variable", y.alias("y"), x.alias("x"), "value", "tile_y", "tile_x")
 
 
 def read_grid(
-    spark: SparkSession, path: str, schema: str | None = None, provider: str | None = None, start: datetime | None = None, stop: datetime | None = None,
-    tile_y: tuple[int, int] | None = None, tile_x: tuple[int, int] | None = None,
+    spark: SparkSession, path: str, provider: str | None = None, start: datetime | None = None, stop: datetime | None = None,
+    tile_y: tuple[int, int] | None = None, tile_x: tuple[int, int] | None = None, box: tuple[tuple[int, int], tuple[int, int]] | None = None, layout: str | None = None,
 ) -> DataFrame:
-    """A stored grid, or a provider's frames from ``start`` to ``stop`` and tiles in ranges, ends included.
+    """A stored grid as cells, or a provider's frames from ``start`` to ``stop``, tiles in ranges, and a box of (y, x); ends included.
 
-    Providers, days and frames are folders that are not listed into the scan; tiles are pushed to it.
+    Providers and days are folders that are not listed into the scan; tiles are pushed to it, a box's tiles too if the layout is
+    named; a box is cut out of the arrays.
     """
-    grid = (spark.read.schema(schema) if schema else spark.read).parquet(path)
-    if provider is not None:
-        grid = grid.where(F.col("provider") == provider)
-    day, clock = F.col("date").cast("date"), F.col("frame")
-    for bound, before in ((start, False), (stop, True)):
-        if bound is not None:
-            at = bound.strftime("T%H%M%S")
-            same = clock <= at if before else clock >= at
-            other = day < F.lit(bound.date()) if before else day > F.lit(bound.date())
-            grid = grid.where(other | ((day == F.lit(bound.date())) & same))
-    for name, span in (("tile_y", tile_y), ("tile_x", tile_x)):
+    chunks = read_chunks(spark, path, provider, start, stop)
+    spans = [("tile_y", tile_y), ("tile_x", tile_x)]
+    if box and layout:
+        spans += [(name, tuple(v // LAYOUTS[layout][0] for v in side)) for name, side in zip(("tile_y", "tile_x"), box, strict=True)]
+    for name, span in spans:
         if span is not None:
-            grid = grid.where(F.col(name).between(*span))
-    return grid.drop("frame")
+            chunks = chunks.where(F.col(name).between(*span))
+    return cells_of(crop(chunks, *box) if box else chunks)
 
 
 def stored_times(spark: SparkSession, path: str) -> DataFrame:
-    """``provider, time`` of the stored frames, from the folders' names: no column of the cells is read."""
-    named = spark.read.parquet(path).select("provider", "date", "frame").distinct()
-    time = F.to_timestamp(F.concat_ws(" ", F.col("date").cast("string"), F.substring("frame", 2, 6)), "yyyy-MM-dd HHmmss")
-    return named.select("provider", time.alias("time"))
+    """``provider, time`` of the stored frames: of the chunks only their frames' times are read, a row for each tile, none for cells."""
+    return spark.read.schema(CHUNK_SCHEMA).parquet(path).select("provider", F.explode("frames.time").alias("time")).distinct()
+
+
+def file_times(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """``key, modified``: when the newest file of each value of a folder's key changed, from the files' metadata alone."""
+    files = spark.read.parquet(path).select(key, F.col("_metadata.file_modification_time").alias("modified"))
+    return files.groupBy(key).agg(F.max("modified").alias("modified"))
 
 
 def read_backup_capacities(spark: SparkSession, path: str) -> DataFrame:
@@ -104,12 +191,45 @@ def location_uuid_map(locations: DataFrame) -> DataFrame:
     return locations.groupBy("location_id").agg(F.max_by("location_uuid", "load_order").alias("location_uuid"))
 
 
-def write_forecast(forecast: DataFrame, path: str) -> None:
-    """Replace whole runs, one of each model and init time: writing twice leaves the same rows, and
-    runs of other init times, of the same day too, stay."""
-    keys = ["init_date", "model", "init"]
-    dated = forecast.withColumns({"init_date": F.to_date("init_time"), "init": F.date_format("init_time", "'T'HHmmss")})
-    dated.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+RUN = ["init_date", "model", "init"]
+
+
+def write_runs(rows: DataFrame, path: str) -> None:
+    """Replace whole runs, one of each model and init time: writing twice leaves the same rows, and runs of other init times stay.
+
+    Folders are named by the UTC date and the microseconds of the init time, so no time zone makes two runs one.
+    """
+    dated = rows.withColumns({"init_date": utc_date(F.col("init_time")), "init": F.unix_micros("init_time")})
+    dated.repartition(*RUN).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*RUN).parquet(path)
+
+
+def write_forecast(forecast: DataFrame, path: str, metadata: DataFrame | None = None, retracted: DataFrame | None = None) -> None:
+    """Publish runs: a row for each (model, location, init time), with the list of its values and its metadata.
+
+    ``forecast`` has ``model, init_time, location_id, target_time`` and any other columns, which are a value's own.
+    ``metadata`` has ``name, at`` (see ``run_metadata``) and comes along with each forecast. A run that is published again
+    replaces its earlier rows; runs ``retracted`` (``model, init_time``) lose theirs: a mark without values takes their place, which
+    ``read_forecast`` leaves out. Both can be repeated without any other effect.
+    """
+    keys = ["model", "init_time", "location_id"]
+    value = F.struct("target_time", *(c for c in forecast.columns if c not in [*keys, "target_time"]))
+    packed = forecast.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("values"))
+    notes = F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", F.date_format(F.to_utc_timestamp("at", F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")))))
+    if metadata is not None:
+        packed = packed.crossJoin(F.broadcast(metadata.agg(notes.alias("metadata"))))
+    else:
+        packed = packed.withColumn("metadata", F.lit(None).cast("map<string,string>"))
+    packed = packed.withColumn("retracted", F.lit(False))
+    if retracted is not None:
+        marks = retracted.select("model", "init_time", F.lit(None).cast(forecast.schema["location_id"].dataType).alias("location_id"), F.lit(True).alias("retracted"))
+        packed = packed.unionByName(marks.distinct(), allowMissingColumns=True)
+    write_runs(packed, path)
+
+
+def read_forecast(spark: SparkSession, path: str) -> DataFrame:
+    """Published values: ``model, init_time, location_id``, a value's columns, and ``metadata``; retracted runs have none."""
+    stored = spark.read.parquet(path).where(~F.col("retracted"))
+    return stored.select("model", "init_time", "location_id", F.explode("values").alias("v"), "metadata").select("model", "init_time", "location_id", "v.*", "metadata")
 
 
 def write_snapshot(features: DataFrame, path: str, model_order: str) -> None:

@@ -13,7 +13,6 @@ from helioflow.operators import grid as g
 from helioflow.operators import timeline as t
 from helioflow.operators import validate as v
 from helioflow.sources import store
-from helioflow.streaming import jobs
 
 NOON = datetime(2025, 1, 1, 12)
 
@@ -142,35 +141,6 @@ def forecast_rows(spark, inits, models=("a", "b")):
     return spark.createDataFrame(rows, "model string, init_time timestamp, location_id long, target_time timestamp, mw double")
 
 
-def test_store_keeps_every_init(spark, tmp_path):
-    path = str(tmp_path / "forecasts")
-    first, second = NOON, NOON + timedelta(minutes=30)
-    store.write_forecast(forecast_rows(spark, [first]), path)
-    store.write_forecast(forecast_rows(spark, [second]), path)
-    store.write_forecast(forecast_rows(spark, [second], ["a"]), path)  # again: no second copy, and b stays
-    found = sorted((r["model"], r["init_time"]) for r in spark.read.parquet(path).collect())
-    assert found == sorted((m, i) for m in "ab" for i in (first, second))
-
-
-def test_grid_keeps_every_frame(spark, tmp_path):
-    path = str(tmp_path / "grid")
-    cells = lambda at, provider: spark.createDataFrame([(provider, at, 1, y, x, float(y + x)) for y in (0, 150) for x in (0, 90)], "provider string, time timestamp, variable int, y long, x long, value double")
-    times = [NOON, NOON + timedelta(minutes=5)]
-    for at in (*times, times[1]):
-        store.write_grid(cells(at, "rapid"), path, "satellite")
-    store.write_grid(cells(NOON + timedelta(days=1), "full"), path, "satellite")
-    every = store.read_grid(spark, path)
-    assert every.count() == 12 and sorted({r["time"] for r in every.where("provider = 'rapid'").collect()}) == times
-    named = store.stored_times(spark, path)
-    assert sorted(map(tuple, named.collect())) == [("full", NOON + timedelta(days=1)), *(("rapid", x) for x in times)]
-    assert "ReadSchema: struct<>" in named._jdf.queryExecution().executedPlan().toString()
-    one = store.read_grid(spark, path, provider="rapid", start=times[1], stop=times[1], tile_y=(1, 1))
-    assert sorted((r["time"], r["y"]) for r in one.collect()) == [(times[1], 150)] * 2
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    filters = plan[plan.index("PartitionFilters") : plan.index("ReadSchema")]
-    assert "(provider#" in filters and "(date#" in filters and "PushedFilters: [IsNotNull(tile_y)" in filters
-
-
 def test_latest_init_looks_back_as_far_as_it_must(spark):
     t0s = spark.createDataFrame([(NOON,), (NOON + timedelta(minutes=1),), (NOON - timedelta(days=40),), (NOON + timedelta(days=900),)], "t0 timestamp")
     inits = spark.createDataFrame([(NOON - timedelta(days=5),), (NOON,), (NOON,)], "init_time timestamp")
@@ -260,18 +230,3 @@ def test_features_of_a_sample(spark):
     constants = spark.createDataFrame([(0, 0.0, 1.0), (1, 10.0, 2.0)], "variable long, mean double, std double")
     found = {r["variable"]: r["values"] for r in g.sample_features(cells, samples, places, constants, (2, 2), (2, 0), [1]).collect()}
     assert found == {0: [10.0 * s * s + 3 * y + x for s in (2, 3, 4) for y in (0, 1) for x in (0, 1)], 1: [(10.0 * (2 * s + 1) - 10) / 2 for s in (2, 3) for _ in range(4)]}
-
-
-def test_stream_judges_split_runs_as_a_whole(spark, tmp_path):
-    """Each half of a run passes; together they zig-zag. Late halves replace the verdict."""
-    rows = [("z", NOON, NOON + timedelta(minutes=30 * k), float(x)) for k, x in enumerate([10, 900, 10, 900])] + [("s", NOON, NOON + timedelta(minutes=30 * k), 10.0) for k in range(4)]
-    frame = spark.createDataFrame(rows, "model string, init_time timestamp, target_time timestamp, mw double")
-    write = jobs.validated_writer(lambda batch: v.validate(batch, 2000.0, 250.0, 500.0, 90.0), str(tmp_path / "out"))
-    halves = [frame.where(F.minute("target_time") == m) for m in (0, 30)]
-    verdicts = lambda: {r["model"]: r["valid"] for r in spark.read.parquet(str(tmp_path / "out" / "verdicts")).collect()}
-    write(halves[0], 0)
-    assert verdicts() == {"z": True, "s": True}
-    write(halves[1], 1)
-    write(halves[1], 1)  # replayed
-    assert verdicts() == {"z": False, "s": True}
-    assert spark.read.parquet(str(tmp_path / "out" / "rows")).count() == 8
