@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioflow.functions.columns import ceil_minutes, epoch_minutes, plus_minutes, time_range
-from helioflow.functions.tables import require_none
+from helioflow.functions.tables import require_none, small
 
 
 def source_times(grid: DataFrame) -> DataFrame:
@@ -51,43 +51,51 @@ def check_cadence(times: DataFrame, keys: list[str], allowed: list[int]) -> Data
 
 
 def gap_plan(times: DataFrame, keys: list[str], step: int = 5, max_gap: int = 15) -> DataFrame:
-    """How to make a dense axis: ``time, before, after, weight`` for each grid time that is kept.
+    """How to make a dense axis: ``time, before, after, weight`` for each time that is kept.
 
-    Present grid times have weight null. Missing ones are kept in runs of at most ``max_gap / step
-    - 1``, bounded on both sides; times off the grid support the interpolation, but aren't kept.
-    The axis has one row for each frame, so this table is small beside the grid.
+    The axis runs from the first time of the keys to the last, every ``step`` minutes. Present times have weight null. Missing ones
+    are kept in runs of at most ``max_gap / step - 1``, bounded on both sides; times off the axis support the
+    interpolation, but aren't kept, unless nothing is missing or fewer than two times are on the axis: then all stay as
+    they are. There is one row for each frame, so this table is small beside the grid.
     """
-    w = Window.partitionBy(*keys).orderBy("time")
-    grid = epoch_minutes(F.col("time")) % step == 0
-    longest = max_gap // step - 1
-    on_grid = times.where(grid).withColumn("next_grid", F.lead("time").over(w))
-    missing = (epoch_minutes(F.col("next_grid")) - epoch_minutes(F.col("time"))) / step - 1
-    gaps = on_grid.where(missing.between(1, longest)).select(
-        *keys, F.explode(time_range(plus_minutes(F.col("time"), step), plus_minutes(F.col("next_grid"), -step), step)).alias("out")
+    whole, w = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("time")
+    since = lambda a, b: epoch_minutes(F.col(b)) - epoch_minutes(F.col(a))
+    seen = times.select(*keys, "time", F.min("time").over(whole).alias("first"), F.max("time").over(whole).alias("last")).withColumn("on_axis", since("first", "time") % step == 0)
+    n_on, n_axis = F.count_if("on_axis").over(whole), F.floor(since("first", "last") / step) + 1
+    seen = seen.withColumn("as_is", (n_on >= n_axis) | (n_on < 2)).drop("first", "last")
+    on_axis = seen.where(F.col("on_axis") & ~F.col("as_is")).withColumn("next_on_axis", F.lead("time").over(w))
+    missing = since("time", "next_on_axis") / step - 1
+    gaps = on_axis.where(missing.between(1, max_gap // step - 1)).select(
+        *keys, F.explode(time_range(plus_minutes(F.col("time"), step), plus_minutes(F.col("next_on_axis"), -step), step)).alias("out")
     )
-    marks = times.select(*keys, "time", F.lit(None).cast("timestamp").alias("out")).unionByName(gaps.select(*keys, F.col("out").alias("time"), "out"))
+    own = F.col("on_axis") | F.col("as_is")
+    marks = seen.select(*keys, "time", own.alias("kept"), F.lit(False).alias("out")).unionByName(gaps.select(*keys, F.col("out").alias("time"), F.lit(True).alias("kept"), F.lit(True).alias("out")))
     # At one time a present frame comes before a missing one: there is none, both can't be.
     # Both frames run from their start to the current row: one that ends at the partition's end is quadratic.
     so_far = (Window.unboundedPreceding, Window.currentRow)
-    present = F.when(F.col("out").isNull(), F.col("time"))
+    present = F.when(~F.col("out"), F.col("time"))
     forward = Window.partitionBy(*keys).orderBy("time").rowsBetween(*so_far)
     backward = Window.partitionBy(*keys).orderBy(F.desc("time")).rowsBetween(*so_far)
-    seen = marks.withColumns({"before": F.last(present, ignorenulls=True).over(forward), "after": F.last(present, ignorenulls=True).over(backward)})
-    share = (epoch_minutes(F.col("time")) - epoch_minutes(F.col("before"))) / (epoch_minutes(F.col("after")) - epoch_minutes(F.col("before")))
-    return seen.where(F.col("out").isNotNull() | grid).select(*keys, "time", "before", "after", F.when(F.col("out").isNotNull(), share).alias("weight"))
+    near = marks.withColumns({"before": F.last(present, ignorenulls=True).over(forward), "after": F.last(present, ignorenulls=True).over(backward)})
+    return near.where("kept").select(*keys, "time", "before", "after", F.when(F.col("out"), since("before", "time") / since("before", "after")).alias("weight"))
 
 
 def interpolate(frames: DataFrame, plan: DataFrame, keys: list[str], cell: list[str]) -> DataFrame:
     """Apply a gap plan to values: present frames pass, missing ones mix their neighbours.
 
-    The plan is joined to the frames before and after; no window runs over cells.
+    A frame's row in the plan says which frames it makes, itself or a mixture; the frames are joined to that once, and the two
+    halves of a mixture meet by cell. No window runs over cells.
     """
-    first = plan.join(frames.select(*keys, *cell, F.col("time").alias("before"), F.col("value").alias("v0")), [*keys, "before"])
-    missing = first.where("weight is not null").join(
-        frames.select(*keys, *cell, F.col("time").alias("after"), F.col("value").alias("v1")), [*keys, *cell, "after"]
-    )
-    mixed = missing.select(*keys, *cell, "time", (F.col("v0") + (F.col("v1") - F.col("v0")) * F.col("weight")).alias("value"), F.lit(True).alias("filled"))
-    return first.where("weight is null").select(*keys, *cell, "time", F.col("v0").alias("value"), F.lit(False).alias("filled")).unionByName(mixed)
+    part = lambda source, second: F.struct(F.col(source).alias("source"), F.lit(second).alias("second"))
+    halves = F.when(F.col("weight").isNull(), F.array(part("time", False))).otherwise(F.array(part("before", False), part("after", True)))
+    roles = plan.select(*keys, "time", "weight", F.explode(halves).alias("h")).select(*keys, F.col("h.source").alias("source"), F.struct("time", "weight", "h.second").alias("role"))
+    of = roles.groupBy(*keys, "source").agg(F.collect_list("role").alias("roles"))
+    met = frames.select(*keys, *cell, F.col("time").alias("source"), "value").join(of, [*keys, "source"]).select(*keys, *cell, "value", F.explode("roles").alias("r"))
+    side = lambda second: F.max(F.when(F.col("r.second") == second, F.struct("value")))["value"]
+    both = met.groupBy(*keys, *cell, F.col("r.time").alias("time"), F.col("r.weight").alias("weight")).agg(side(False).alias("a"), side(True).alias("b"), F.count("*").alias("n"))
+    mixed = F.when(F.col("weight").isNull(), F.col("a")).otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("weight"))
+    # A cell that one of the neighbours lacks is not made.
+    return both.where(F.col("weight").isNull() | (F.col("n") == 2)).select(*keys, *cell, "time", mixed.alias("value"), F.col("weight").isNotNull().alias("filled"))
 
 
 def extension_times(times: DataFrame, keys: list[str], t0: str, step: int = 5, limit: int = 180) -> DataFrame:
@@ -113,8 +121,8 @@ def nwp_needs(models: DataFrame, t0s: DataFrame, resolution: int = 60) -> DataFr
 
 
 def _pairs(models: DataFrame, t0s: DataFrame) -> DataFrame:
-    """Every model for every t0: the wanted result, with a few models."""
-    return t0s.crossJoin(F.broadcast(models))
+    """Every model for every t0: the wanted result."""
+    return t0s.crossJoin(small(models))
 
 
 def missing_inputs(needs: DataFrame, times: DataFrame, on: list[str]) -> DataFrame:

@@ -161,6 +161,27 @@ def interpolate_missing_times(spark, sf_dir):
     return t.interpolate(frames, t.gap_plan(frames, ["provider"]), ["provider"], []).withColumn("value", F.round("value", 6))
 
 
+_OFF_AXIS_SQL = f"""with m as (select distinct event_type as provider, time_bucket(interval '30 minutes', ts) as part, date_trunc('minute', ts) as time, date_part('minute', ts)::double as value from events),
+    k as (select *, min(time) over (partition by provider, part) as first, max(time) over (partition by provider, part) as last from m),
+    g as (select *, date_diff('minute', first, time) % 5 = 0 as on_axis, date_diff('minute', first, last) // 5 + 1 as n_axis from k),
+    q as (select *, count(*) filter (where on_axis) over (partition by provider, part) as n_on from g), s as (select *, n_on = n_axis or n_on < 2 as as_is from q),
+    o as (select *, lead(time) over (partition by provider, part order by time) as after from s where on_axis and not as_is),
+    gaps as (select provider, part, time + to_minutes(5 * unnest(range(1, cast(date_diff('minute', time, after) // 5 as bigint)))) as time from o where date_diff('minute', time, after) // 5 - 1 between 1 and 2),
+    filled as (select g.provider, g.part, g.time, max(m.time) filter (where m.time < g.time) as before, min(m.time) filter (where m.time > g.time) as after from gaps g join m using (provider, part) group by 1, 2, 3),
+    plan as (select provider, part, time, value, false as filled from s where on_axis or as_is union all
+      select f.provider, f.part, f.time, a.value + (b.value - a.value) * (date_diff('minute', f.before, f.time) / date_diff('minute', f.before, f.after)), true
+      from filled f join m a on a.provider = f.provider and a.part = f.part and a.time = f.before join m b on b.provider = f.provider and b.part = f.part and b.time = f.after)
+    select provider, {text("part")}, {text("time")}, round(value, 6) as value, filled from plan"""
+
+
+@query(_OFF_AXIS_SQL)
+def interpolate_off_axis(spark, sf_dir):
+    """Half hours whose times lie where they like: off the axis they help to fill, and stay only where nothing is to be filled."""
+    at = floor_minutes(F.col("ts"), 1)
+    rows = views.events(spark, sf_dir).select(F.col("event_type").alias("provider"), floor_minutes(F.col("ts"), 30).alias("part"), at.alias("time"), F.minute("ts").cast("double").alias("value")).distinct()
+    return t.interpolate(rows, t.gap_plan(rows, ["provider", "part"]), ["provider", "part"], []).withColumn("value", F.round("value", 6))
+
+
 @query(
     f""">newest as (select provider, max(time) as newest, (select max(time) from provider_frames) + interval 90 minute as t0 from provider_frames group by 1)
     select provider, strftime(newest + to_minutes(5 * k), '{DAY}') as time, true as is_nan
