@@ -809,6 +809,39 @@ def week_average_deltas(spark, sf_dir):
     return adjust.week_average_deltas(past, observed, F.col("pivot")).withColumn("delta", F.round("delta", 6))
 
 
+_EACH_DELTA_SQL = """>inits as (select distinct init_time as at from forecast),
+    errors as (select f.model as forecaster, location_id, date_diff('minute', f.init_time, target_time) as horizon_mins, target_time, f.mw / 512 - o.mw / 512 as error
+      from forecast f join (select location_id, target_time, mw from forecast where model = 'error') o using (location_id, target_time) where f.model <> 'error'),
+    each_delta as (select at, forecaster, location_id, horizon_mins, avg(error) as delta from inits join errors on target_time >= at - interval 7 day and target_time < at group by 1, 2, 3, 4)"""
+
+
+@query(f"{_EACH_DELTA_SQL} select {text("at").replace("as at", "as init_time")}, forecaster, location_id, horizon_mins, round(delta, 6) as delta from each_delta", "forecast")
+def deltas_for_every_init(spark, sf_dir):
+    """The week before each init time, for all of them at once."""
+    past, observed = _past(spark, sf_dir)
+    return adjust.deltas_for_pivots(past, observed, past).withColumn("delta", F.round("delta", 6))
+
+
+@query(
+    f"""{_EACH_DELTA_SQL}, first as (select at as init_time, forecaster, horizon_mins, delta from each_delta qualify row_number() over (partition by at, forecaster, horizon_mins order by location_id) = 1),
+    n as (select model as forecaster, init_time, target_time, date_diff('minute', init_time, target_time) as horizon_mins, mw / 4096 as p50 from own_national where model <> 'error'),
+    l as (select n.*, least(greatest(least(greatest(coalesce(delta, 0.0), -0.1 * p50), 0.1 * p50), -0.05), 0.05) as limited from n left join first using (forecaster, init_time, horizon_mins))
+    select forecaster || '_adjust' as forecaster, {text("init_time")}, {text("target_time")}, round(greatest(0.0, least(1.0, p50 - limited)), 6) as p50 from l""",
+    "forecast", "own_national",
+)
+def adjust_every_init(spark, sf_dir):
+    """Each run with the deltas of its own week before."""
+    past, observed = _past(spark, sf_dir)
+    deltas = adjust.deltas_for_pivots(past, observed, past).withColumn("place", F.col("location_id"))
+    return adjust.apply_adjuster(_national_values(spark, sf_dir), deltas, F.lit(20000.0)).select("forecaster", "init_time", "target_time", F.round("p50", 6).alias("p50"))
+
+
+def _national_values(spark, sf_dir):
+    own = views.forecast(spark, sf_dir).where("model <> 'error'").groupBy(F.col("model").alias("forecaster"), "init_time", "target_time")
+    national = own.agg((F.sum(F.col("mw").cast("decimal(18,2)")).cast("double") / 4096).alias("p50"))
+    return national.withColumns({"horizon_mins": f.horizon_minutes(F.col("init_time"), F.col("target_time")), "levels": F.create_map(F.lit("p90"), F.col("p50") * 1.25)})
+
+
 _LIMIT = "least(greatest(least(greatest({d}, -0.1 * {p}), 0.1 * {p}), -1000.0 / {c}), 1000.0 / {c})"
 
 
@@ -834,10 +867,7 @@ def limit_adjuster(spark, sf_dir):
 def apply_adjuster(spark, sf_dir):
     past, observed = _past(spark, sf_dir)
     deltas = adjust.week_average_deltas(past, observed, F.col("pivot")).withColumn("place", F.col("location_id"))
-    own = views.forecast(spark, sf_dir).where("model <> 'error'").groupBy(F.col("model").alias("forecaster"), "init_time", "target_time")
-    national = own.agg((F.sum(F.col("mw").cast("decimal(18,2)")).cast("double") / 4096).alias("p50"))
-    rows = national.withColumns({"horizon_mins": f.horizon_minutes(F.col("init_time"), F.col("target_time")), "levels": F.create_map(F.lit("p90"), F.col("p50") * 1.25)})
-    done = adjust.apply_adjuster(rows, deltas, F.lit(20000.0))
+    done = adjust.apply_adjuster(_national_values(spark, sf_dir), deltas, F.lit(20000.0))
     return done.select("forecaster", "init_time", "target_time", F.round("p50", 6).alias("p50"), F.round(F.col("levels")["p90"], 6).alias("p90"))
 
 
