@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import pi
 
 from pyspark.sql import Column
@@ -42,21 +43,71 @@ def to_float16(v: Column) -> Column:
     return F.when(v.isNull() | F.isnan(v) | (v == 0), v).when(F.abs(v) >= 65520, F.signum(v) * float("inf")).otherwise(F.rint(v / ulp) * ulp)
 
 
+#: Periodic terms of the Earth's heliocentric longitude (VSOP87, cut off below 1e-6 radian; fixed values): for each power of time
+#: the amplitude in 1e-8 radian, the phase in radians and the frequency in radians a Julian millennium.
+LONGITUDE_TERMS = [
+    [
+        (175347046, 0.0, 0.0), (3341656, 4.6692568, 6283.07585), (34894, 4.6261, 12566.1517), (3497, 2.7441, 5753.3849), (3418, 2.8289, 3.5231),
+        (3136, 3.6277, 77713.7715), (2676, 4.4181, 7860.4194), (2343, 6.1352, 3930.2097), (1324, 0.7425, 11506.7698), (1273, 2.0371, 529.691),
+        (1199, 1.1096, 1577.3435), (990, 5.233, 5884.927), (902, 2.045, 26.298), (857, 3.508, 398.149), (780, 1.179, 5223.694),
+        (753, 2.533, 5507.553), (505, 4.583, 18849.228), (492, 4.205, 775.523), (357, 2.92, 0.067), (317, 5.849, 11790.629),
+        (284, 1.899, 796.298), (271, 0.315, 10977.079), (243, 0.345, 5486.778), (206, 4.806, 2544.314), (205, 1.869, 5573.143),
+        (202, 2.458, 6069.777), (156, 0.833, 213.299), (132, 3.411, 2942.463), (126, 1.083, 20.775), (115, 0.645, 0.98),
+        (103, 0.636, 4694.003), (102, 0.976, 15720.839), (102, 4.267, 7.114),
+    ],
+    [(628331966747, 0.0, 0.0), (206059, 2.678235, 6283.07585), (4303, 2.6351, 12566.1517), (425, 1.59, 3.523), (119, 5.796, 26.298), (109, 2.966, 1577.344)],
+    [(52919, 0.0, 0.0), (8720, 1.0721, 6283.0758), (309, 0.867, 12566.152)],
+]
+#: Terrestrial less universal time in seconds, as the published algorithm's users commonly take it.
+DELTA_T = 67.0
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def sun_place(ts: Column) -> Column:
+    """A struct of the sun's apparent right ascension and declination, the apparent sidereal time at Greenwich (``ascension,
+    declination, sidereal`` in radians), and its ``distance`` (au).
+
+    The published solar position algorithm with its series cut off; nutation by its four largest terms. Good to about 0.0005 degree
+    in this century and the last. ``ts`` is in UTC.
+    """
+
+    def place(c: Column) -> Column:
+        century, days = c, c * 36_525 - DELTA_T / 86_400
+        powers = [sum((a * F.cos(b + f / 10 * century) if f else F.lit(float(a))) for a, b, f in terms) for terms in LONGITUDE_TERMS]
+        longitude = (powers[0] + powers[1] * (century / 10) + powers[2] * (century * century / 100)) / 1e8 + pi
+        distance = 1.00013989 + 0.01670700 * F.cos(3.0984635 + 628.307585 * century) + 0.00013956 * F.cos(3.05525 + 1256.61517 * century)
+        node, sun, moon = (F.radians(a + b * century) for a, b in ((125.04452, -1934.136261), (280.4665, 36000.7698), (218.3165, 481267.8813)))
+        in_longitude = F.radians((-17.20 * F.sin(node) - 1.32 * F.sin(2 * sun) - 0.23 * F.sin(2 * moon) + 0.21 * F.sin(2 * node)) / 3600)
+        in_tilt = F.radians((9.20 * F.cos(node) + 0.57 * F.cos(2 * sun) + 0.10 * F.cos(2 * moon) - 0.09 * F.cos(2 * node)) / 3600)
+        turned = days / 36_525
+        turn = F.radians(280.46061837 + 360.98564736629 * days + 0.000387933 * turned * turned)
+        tilt = F.radians(23.4392911111 - 0.0130041667 * century) + in_tilt
+        return F.struct(longitude.alias("longitude"), in_longitude.alias("psi"), tilt.alias("tilt"), turn.alias("turn"), distance.alias("distance"))
+
+    def apparent(p: Column) -> Column:
+        own = p["longitude"] + p["psi"] - F.radians(20.4898 / 3600 / p["distance"]) - F.radians(F.lit(0.09033 / 3600))
+        return F.struct(own.alias("own"), p["tilt"].alias("tilt"), (p["turn"] + p["psi"] * F.cos(p["tilt"])).alias("sidereal"), p["distance"].alias("distance"))
+
+    def seen(p: Column) -> Column:
+        ascension, declination = F.atan2(F.cos(p["tilt"]) * F.sin(p["own"]), F.cos(p["own"])), F.asin(F.sin(p["tilt"]) * F.sin(p["own"]))
+        return F.struct(ascension.alias("ascension"), declination.alias("declination"), p["sidereal"].alias("sidereal"), p["distance"].alias("distance"))
+
+    century = (F.unix_micros(ts) / 86_400_000_000 - 10_957.5 + DELTA_T / 86_400) / 36_525  # since J2000
+    return _let(_let(_let(century, place), apparent), seen)
+
+
 def solar_elevation(ts: Column, latitude: float | Column, longitude: float | Column) -> Column:
-    """Geometric elevation of the sun in degrees, by the low-precision formula of the Astronomical
-    Almanac: good to about 0.1 degree. ``ts`` is in UTC."""
+    """Elevation of the sun's middle in degrees, without refraction, for an observer at sea level; see ``sun_place``."""
     lat = F.radians(latitude if isinstance(latitude, Column) else F.lit(float(latitude)))
-    lon = longitude if isinstance(longitude, Column) else F.lit(float(longitude))
-    days = F.unix_micros(ts) / 86_400_000_000 - 10_957.5  # since J2000
-    mean_longitude = 280.460 + 0.9856474 * days
-    anomaly = F.radians(357.528 + 0.9856003 * days)
-    ecliptic = F.radians(mean_longitude + 1.915 * F.sin(anomaly) + 0.020 * F.sin(2 * anomaly))
-    tilt = F.radians(23.439 - 0.0000004 * days)
-    ascension = F.atan2(F.cos(tilt) * F.sin(ecliptic), F.cos(ecliptic))
-    declination = F.asin(F.sin(tilt) * F.sin(ecliptic))
-    sidereal = F.radians(280.46061837 + 360.98564736629 * days + lon)
-    hour_angle = sidereal - ascension
-    return F.degrees(F.asin(F.sin(lat) * F.sin(declination) + F.cos(lat) * F.cos(declination) * F.cos(hour_angle)))
+    lon = F.radians(longitude if isinstance(longitude, Column) else F.lit(float(longitude)))
+    above = lambda p: F.asin(F.sin(lat) * F.sin(p["declination"]) + F.cos(lat) * F.cos(p["declination"]) * F.cos(p["sidereal"] + lon - p["ascension"]))
+    # Seen from the surface, the sun is lower by its parallax.
+    lower = lambda p: _let(above(p), lambda height: F.degrees(height) - 8.794 / 3600 / p["distance"] * F.cos(height))
+    return _let(sun_place(ts), lower)
 
 
 #: WGS84 and the projection's centre (fixed values).

@@ -809,13 +809,13 @@ def week_average_deltas(spark, sf_dir):
     return adjust.week_average_deltas(past, observed, F.col("pivot")).withColumn("delta", F.round("delta", 6))
 
 
-_EACH_DELTA_SQL = """>inits as (select distinct init_time as at from forecast),
+_EACH_DELTA_SQL = """>inits as (select distinct init_time as upto from forecast),
     errors as (select f.model as forecaster, location_id, date_diff('minute', f.init_time, target_time) as horizon_mins, target_time, f.mw / 512 - o.mw / 512 as error
       from forecast f join (select location_id, target_time, mw from forecast where model = 'error') o using (location_id, target_time) where f.model <> 'error'),
-    each_delta as (select at, forecaster, location_id, horizon_mins, avg(error) as delta from inits join errors on target_time >= at - interval 7 day and target_time < at group by 1, 2, 3, 4)"""
+    each_delta as (select upto, forecaster, location_id, horizon_mins, avg(error) as delta from inits join errors on target_time >= upto - interval 7 day and target_time < upto group by 1, 2, 3, 4)"""
 
 
-@query(f"{_EACH_DELTA_SQL} select {text("at").replace("as at", "as init_time")}, forecaster, location_id, horizon_mins, round(delta, 6) as delta from each_delta", "forecast")
+@query(f"{_EACH_DELTA_SQL} select {text("upto").replace("as upto", "as init_time")}, forecaster, location_id, horizon_mins, round(delta, 6) as delta from each_delta", "forecast")
 def deltas_for_every_init(spark, sf_dir):
     """The week before each init time, for all of them at once."""
     past, observed = _past(spark, sf_dir)
@@ -823,7 +823,7 @@ def deltas_for_every_init(spark, sf_dir):
 
 
 @query(
-    f"""{_EACH_DELTA_SQL}, first as (select at as init_time, forecaster, horizon_mins, delta from each_delta qualify row_number() over (partition by at, forecaster, horizon_mins order by location_id) = 1),
+    f"""{_EACH_DELTA_SQL}, first as (select upto as init_time, forecaster, horizon_mins, delta from each_delta qualify row_number() over (partition by upto, forecaster, horizon_mins order by location_id) = 1),
     n as (select model as forecaster, init_time, target_time, date_diff('minute', init_time, target_time) as horizon_mins, mw / 4096 as p50 from own_national where model <> 'error'),
     l as (select n.*, least(greatest(least(greatest(coalesce(delta, 0.0), -0.1 * p50), 0.1 * p50), -0.05), 0.05) as limited from n left join first using (forecaster, init_time, horizon_mins))
     select forecaster || '_adjust' as forecaster, {text("init_time")}, {text("target_time")}, round(greatest(0.0, least(1.0, p50 - limited)), 6) as p50 from l""",
@@ -873,11 +873,27 @@ def apply_adjuster(spark, sf_dir):
 
 # --- validation ----------------------------------------------------------------------------------
 
-_ELEVATION = """select *, date_part('epoch', target_time) / 86400.0 - 10957.5 as d from national"""
-_SUN_SQL = f"""sun as (select *, radians(357.528 + 0.9856003 * d) as g, radians(23.439 - 0.0000004 * d) as tilt from ({_ELEVATION})),
-    sun2 as (select *, radians(280.460 + 0.9856474 * d + 1.915 * sin(g) + 0.020 * sin(2 * g)) as lam from sun),
-    sun3 as (select *, asin(sin(tilt) * sin(lam)) as dec, radians(280.46061837 + 360.98564736629 * d + {v.LONGITUDE}) - atan2(cos(tilt) * sin(lam), cos(lam)) as ha from sun2),
-    lit as (select *, degrees(asin(sin(radians({v.LATITUDE})) * sin(dec) + cos(radians({v.LATITUDE})) * cos(dec) * cos(ha))) as elevation from sun3)"""
+def _sun_sql() -> str:
+    """The sun's elevation by a sum over a table of terms, in steps."""
+    from helioflow.functions.columns import DELTA_T, LONGITUDE_TERMS
+
+    terms = ", ".join(f"({k}, {a}::double, {b!r}::double, {c!r}::double)" for k, rows in enumerate(LONGITUDE_TERMS) for a, b, c in rows)
+    lat = f"radians({v.LATITUDE})"
+    return f"""moments as (select distinct target_time, date_part('epoch', target_time) / 86400.0::double - 10957.5 as d from national),
+    tau as (select *, (d + {DELTA_T} / 86400.0::double) / 36525 as c from moments), terms as (select * from (values {terms}) as _t(k, a, b, f)),
+    lon as (select target_time, d, c, sum(a * cos(b + f * c / 10) * pow(c / 10, k)) / 1e8 + pi() as l from tau cross join terms group by 1, 2, 3),
+    args as (select *, 1.00013989 + 0.01670700 * cos(3.0984635 + 6283.07585 * c / 10) + 0.00013956 * cos(3.05525 + 12566.1517 * c / 10) as r,
+      radians(125.04452 - 1934.136261 * c) as n, radians(280.4665 + 36000.7698 * c) as s, radians(218.3165 + 481267.8813 * c) as m from lon),
+    nut as (select *, radians((-17.20 * sin(n) - 1.32 * sin(2 * s) - 0.23 * sin(2 * m) + 0.21 * sin(2 * n)) / 3600) as psi,
+      radians(23.4392911111 - 0.0130041667 * c + (9.20 * cos(n) + 0.57 * cos(2 * s) + 0.10 * cos(2 * m) - 0.09 * cos(2 * n)) / 3600) as tilt from args),
+    app as (select *, l + psi - radians(20.4898 / 3600 / r) - radians(0.09033 / 3600) as lam from nut),
+    place as (select *, asin(sin(tilt) * sin(lam)) as dec, radians(280.46061837::double + 360.98564736629::double * d + 0.000387933 * pow(d / 36525, 2)) + psi * cos(tilt) + radians({v.LONGITUDE})
+      - atan2(cos(tilt) * sin(lam), cos(lam)) as ha from app),
+    up as (select *, asin(sin({lat}) * sin(dec) + cos({lat}) * cos(dec) * cos(ha)) as h from place),
+    lit as (select national.*, degrees(h) - 8.794 / 3600 / r * cos(h) as elevation from national join up using (target_time))"""
+
+
+_SUN_SQL = _sun_sql()
 _ZIG_SQL = """steps as (select *, lead(mw, 1) over w - mw as d1, lead(mw, 2) over w - lead(mw, 1) over w as d2, lead(mw, 3) over w - lead(mw, 2) over w as d3
     from national window w as (partition by model, init_time order by target_time))"""
 

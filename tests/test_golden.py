@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from helioflow.functions.columns import solar_elevation
+from helioflow.functions.columns import solar_elevation, sun_place
 from helioflow.operators import adjust, forecast, satellite
 from helioflow.operators import grid as g
 from helioflow.operators import timeline as t
@@ -130,15 +130,21 @@ def test_frames_with_half_bad_values(spark, bad):
 
 
 def test_solar_elevation(spark):
-    """The published example of a solar position algorithm: 39.872 degrees without refraction."""
+    """The published example of a solar position algorithm: 39.872046 degrees without refraction."""
     row = spark.createDataFrame([(datetime(2003, 10, 17, 19, 30, 30),)], "at timestamp")
     found = row.select(solar_elevation(F.col("at"), 39.742476, -105.1786)).first()[0]
-    assert abs(found - 39.872046) < 0.05
-
-
-def forecast_rows(spark, inits, models=("a", "b")):
-    rows = [(m, i, 1, i + timedelta(minutes=30), float(k)) for k, i in enumerate(inits) for m in models]
-    return spark.createDataFrame(rows, "model string, init_time timestamp, location_id long, target_time timestamp, mw double")
+    assert abs(found - 39.872046) < 0.001
+
+
+def test_sun_place(spark):
+    """Published places of the sun: 1992-10-13 0h terrestrial time, and the example above."""
+    times = [datetime(1992, 10, 12, 23, 58, 53), datetime(2003, 10, 17, 19, 30, 30)]
+    place = sun_place(F.col("at"))
+    ascension, declination, sidereal, distance = (place[x] for x in ("ascension", "declination", "sidereal", "distance"))
+    rows = spark.createDataFrame([(t,) for t in times], "at timestamp").select("at", F.pmod(F.degrees(ascension), F.lit(360.0)), F.degrees(declination), F.pmod(F.degrees(sidereal), F.lit(360.0)), distance)
+    found = {r[0]: tuple(r)[1:] for r in rows.collect()}
+    for time, wanted in zip(times, [(198.378178, -7.783871, None, 0.997609), (202.227408, -9.314340, 318.511910, 0.996542)], strict=True):
+        assert all(w is None or abs(a - w) < 0.0006 for a, w in zip(found[time], wanted, strict=True))
 
 
 def test_latest_init_looks_back_as_far_as_it_must(spark):
