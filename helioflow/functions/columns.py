@@ -141,6 +141,38 @@ def lonlat_of_laea(x: Column, y: Column) -> tuple[Column, Column]:
     return lon, F.degrees(lat)
 
 
+def laea_of_lonlat(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """x and y in metres of longitude and latitude in degrees: the other way round from ``lonlat_of_laea``, in closed form."""
+    from math import asin, cos, log, radians, sin, sqrt
+
+    e2 = FLATTENING * (2 - FLATTENING)
+    e = sqrt(e2)
+    of = lambda s, ln: (1 - e2) * (s / (1 - e2 * s * s) - ln((1 - e * s) / (1 + e * s)) / (2 * e))
+    phi_0, q_pole = radians(LAT_0), of(1.0, log)
+    beta_0, r_q = asin(of(sin(phi_0), log) / q_pole), AXIS * sqrt(q_pole / 2)
+    d = AXIS * cos(phi_0) / sqrt(1 - e2 * sin(phi_0) ** 2) / (r_q * cos(beta_0))
+    beta, east = F.asin(of(F.sin(F.radians(lat)), F.log) / q_pole), F.radians(lon - LON_0)
+    b = r_q * F.sqrt(2 / (1 + sin(beta_0) * F.sin(beta) + cos(beta_0) * F.cos(beta) * F.cos(east)))
+    return b * d * F.cos(beta) * F.sin(east), b / d * (cos(beta_0) * F.sin(beta) - sin(beta_0) * F.cos(beta) * F.cos(east))
+
+
+def place_on_axis(v: Column, axis: Column) -> Column:
+    """Where a value lies on a sorted axis, rising or falling, in steps from its first entry; null outside.
+
+    A binary search, then a share of the step that it falls into; steps may differ.
+    """
+    n = F.size(axis)
+    up = F.get(axis, n - 1) >= F.get(axis, F.lit(0))
+    below = lambda at: F.when(up, F.get(axis, at) <= v).otherwise(F.get(axis, at) >= v)
+    half = lambda s: F.floor((s["low"] + s["high"]) / 2).cast("int")
+    narrowed = lambda s, _: F.when(s["high"] - s["low"] <= 1, s).when(below(half(s)), F.struct(half(s).alias("low"), s["high"].alias("high"))).otherwise(F.struct(s["low"].alias("low"), half(s).alias("high")))
+    whole = F.struct(F.lit(0).alias("low"), (n - 1).alias("high"))
+    low = F.aggregate(F.sequence(F.lit(1), F.ceil(F.log2(F.greatest(n, F.lit(2)))).cast("int") + 1), whole, narrowed, lambda s: s["low"])
+    share = lambda low: low + F.coalesce((v - F.get(axis, low)) / F.nullif(F.get(axis, low + 1) - F.get(axis, low), F.lit(0.0)), F.lit(0.0))
+    inside = v.between(F.least(F.get(axis, F.lit(0)), F.get(axis, n - 1)), F.greatest(F.get(axis, F.lit(0)), F.get(axis, n - 1)))
+    return F.when(inside, _let(low, share))
+
+
 def is_number(v: Column) -> Column:
     """Neither null nor NaN; Spark orders NaN above all numbers, so comparisons need this guard."""
     return v.isNotNull() & ~F.isnan(v)

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helioflow.functions.columns import is_number, lonlat_of_laea, plus_minutes, to_float16
+from helioflow.functions.columns import is_number, laea_of_lonlat, lonlat_of_laea, place_on_axis, plus_minutes, to_float16
 from helioflow.functions.tables import require_none, small
 
+#: Rows of regridding weights, some 40 bytes each, that may go to every task.
+MOST_WEIGHTS = 1_000_000
+
 
 def rename_variables(grid: DataFrame, names: DataFrame) -> DataFrame:
     """Rename by (provider, variable) -> new; unknown names pass through. The grid is not shuffled."""
@@ -106,9 +109,36 @@ def bilinear_weights(targets: DataFrame, height: int, width: int) -> DataFrame:
     return each.select("target_id", (F.col("y_low") + F.col("dy")).alias("y"), (F.col("x_low") + F.col("dx")).alias("x"), weight.alias("w")).where("w > 0")
 
 
+def axes_of(grid: DataFrame, y: str, x: str, falling: bool = False) -> DataFrame:
+    """One row with the sorted coordinates of a grid's rows and columns: ``y_axis`` (from the top, if ``falling``) and ``x_axis``."""
+    return grid.agg(F.sort_array(F.collect_set(y), not falling).alias("y_axis"), F.sort_array(F.collect_set(x)).alias("x_axis"))
+
+
+def on_axes(targets: DataFrame, axes: DataFrame, y: str, x: str) -> DataFrame:
+    """``targets`` with ``ty, tx``: their coordinates in steps of the axes; null where an axis doesn't reach."""
+    both = targets.crossJoin(F.broadcast(axes))  # one row
+    placed = both.withColumns({"ty": place_on_axis(F.col(y), F.col("y_axis")), "tx": place_on_axis(F.col(x), F.col("x_axis"))})
+    return placed.select(*targets.columns, "ty", "tx")
+
+
+def regrid_by_coordinates(grid: DataFrame, targets: DataFrame, y: str, x: str, keys: list[str], falling: bool = False) -> DataFrame:
+    """``regrid`` of cells that carry coordinates, to targets that do: ``target_id`` and the columns ``y`` and ``x``.
+
+    Targets are looked up in the grid's axes, and the weights' corners get the axes' own values, so that cells are joined by their
+    coordinates. Where the weights are small they are broadcast and no cell is shuffled; only sums are.
+    """
+    axes = axes_of(grid, y, x, falling)
+    placed = on_axes(targets.select("target_id", y, x), axes, y, x)
+    size = axes.select(F.size("y_axis").alias("h"), F.size("x_axis").alias("w")).first()
+    weights = bilinear_weights(placed, size["h"], size["w"]).crossJoin(F.broadcast(axes))
+    corners = weights.select("target_id", F.get("y_axis", F.col("y").cast("int")).alias(y), F.get("x_axis", F.col("x").cast("int")).alias(x), "w")
+    summed = grid.join(small(corners, MOST_WEIGHTS), [y, x]).groupBy(*keys, "target_id")
+    return summed.agg(F.sum(F.col("w") * F.col("value")).alias("value"))
+
+
 def regrid(grid: DataFrame, weights: DataFrame, keys: list[str]) -> DataFrame:
-    """A sparse matrix product: join on the cell, sum weight times value."""
-    summed = grid.join(weights, ["y", "x"]).groupBy(*keys, "target_id")
+    """A sparse matrix product: join on the cell, sum weight times value. Small weights are broadcast, so that no cell is shuffled."""
+    summed = grid.join(small(weights, MOST_WEIGHTS), ["y", "x"]).groupBy(*keys, "target_id")
     return summed.agg(F.sum(F.col("w") * F.col("value")).alias("value"))
 
 
@@ -189,16 +219,24 @@ def sample_features(
 def prepare_nwp(
     grid: DataFrame, names: DataFrame, targets: DataFrame | None, height: int, width: int, half: bool = True, projected: bool = False
 ) -> DataFrame:
-    """One provider's frames, checked and made ready: frames with NaN go, variables are renamed, cells get
-    longitude and latitude where the grid is in metres, or are regridded to targets, values are rounded to half precision.
+    """One provider's frames, checked and made ready: frames with NaN go, variables are renamed, cells are regridded to
+    targets, values are rounded to half precision, each after the other.
 
-    ``grid`` has ``provider, frame, variable, y, x, value``. Returns the keys and the value; with
-    ``projected`` also ``lon, lat``. To be saved by ``store.write_grid``.
+    ``grid`` has ``provider, frame, variable, y, x, value``. Where ``projected``, y and x are metres, and targets have ``lon`` and ``lat``, which
+    are projected and looked up on the grid's axes; without targets each cell gets its own ``lon`` and ``lat``. Else targets
+    have ``ty, tx`` in cells. Returns the keys and the value, and ``lon, lat`` where ``projected``. To be saved by
+    ``store.write_grid``.
     """
     bad = has_nan(grid, ["provider", "frame"]).where("has_nan").select("provider", "frame")
     rows = rename_variables(grid.join(bad, ["provider", "frame"], "left_anti"), names)
-    if targets is not None:
-        rows = regrid_unless_same(rows, targets, height, width, ["provider", "frame", "variable"])
+    keys = ["provider", "frame", "variable"]
+    if projected and targets is not None:
+        x, y = laea_of_lonlat(F.col("lon"), F.col("lat"))
+        at = small(targets.select("target_id", "lon", "lat"), MOST_WEIGHTS)
+        rows = regrid_by_coordinates(rows, targets.select("target_id", y.alias("y"), x.alias("x")), "y", "x", keys).join(at, "target_id")
     elif projected:
-        rows = rows.join(small(lonlat_lookup(rows), 1_000_000), ["x", "y"])
+        # The places of the cells are those of any frame: the keys' own columns are all that is read of the grid.
+        rows = rows.join(small(lonlat_lookup(grid), MOST_WEIGHTS), ["x", "y"])
+    elif targets is not None:
+        rows = regrid_unless_same(rows, targets, height, width, keys)
     return half_precision(rows) if half else rows

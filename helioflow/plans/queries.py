@@ -425,6 +425,24 @@ def regrid_bilinear(spark, sf_dir):
     return _regridded(spark, sf_dir).withColumn("value", F.round("value", 7))
 
 
+_AXES_SQL = """>g as (select *, 60.0 - 0.5 * y as lat, -8.0 + 0.2 * x * (x + 2) as lon from grid), lats as (select distinct lat, lead(lat) over (order by lat) as above from (select distinct lat from g)),
+    lons as (select lon, lead(lon) over (order by lon) as above from (select distinct lon from g)),
+    targets as (select s_suppkey as target_id, 56.0 + s_suppkey % 37 / 8.0 as lat, -9.0 + s_suppkey % 61 / 4.0 as lon from supplier),
+    ty as (select target_id, unnest([a.lat, a.above]) as lat, unnest([(a.above - t.lat) / (a.above - a.lat), (t.lat - a.lat) / (a.above - a.lat)]) as wy from targets t join lats a on t.lat >= a.lat and t.lat < a.above
+      union all select target_id, lat, 1.0 from targets where lat = (select max(lat) from lats)),
+    tx as (select target_id, unnest([o.lon, o.above]) as lon, unnest([(o.above - t.lon) / (o.above - o.lon), (t.lon - o.lon) / (o.above - o.lon)]) as wx from targets t join lons o on t.lon >= o.lon and t.lon < o.above
+      union all select target_id, lon, 1.0 from targets where lon = (select max(lon) from lons))"""
+
+
+@query(f"{_AXES_SQL} select frame, variable, target_id, round(sum(wy * wx * value), 9) as value from ty join tx using (target_id) join g using (lat, lon) group by 1, 2, 3", "grid")
+def regrid_coordinates(spark, sf_dir):
+    """Latitudes fall, longitudes rise by steps that grow; targets outside have no value."""
+    lat, lon = 60.0 - 0.5 * F.col("y"), -8.0 + 0.2 * F.col("x") * (F.col("x") + 2)
+    cells = views.grid(spark, sf_dir).select("frame", "variable", lat.alias("lat"), lon.alias("lon"), "value")
+    places = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("target_id"), (56.0 + F.col("s_suppkey") % 37 / 8.0).alias("lat"), (-9.0 + F.col("s_suppkey") % 61 / 4.0).alias("lon"))
+    return g.regrid_by_coordinates(cells, places, "lat", "lon", ["frame", "variable"], falling=True).withColumn("value", F.round("value", 9))
+
+
 @query(
     """>d as (select variable, y, x, frame, lead(value) over (partition by variable, y, x order by frame) - value as value from grid)
     select 'diff_' || variable as variable, y, x, frame, value from d where value is not null""",
