@@ -169,15 +169,15 @@ def lonlat_lookup(cells: DataFrame) -> DataFrame:
     return cells.select("x", "y").distinct().select("x", "y", lon.alias("lon"), lat.alias("lat"))
 
 
-def time_slices(rows: DataFrame, t0s: DataFrame, before: int, after: int) -> DataFrame:
-    """Rows of the steps from ``before`` steps ahead of each t0 to ``after`` steps past it, both included.
+def time_slices(rows: DataFrame, samples: DataFrame, spans: dict[str, tuple[int, int]]) -> DataFrame:
+    """Rows of the steps that each sample (``config, t0``) reads: from ``before`` steps ahead of t0 to ``after`` steps past it, both included.
 
-    ``step`` and ``t0`` are whole numbers. Each step names the t0 that read it, so that the join is one of
-    equality and the work follows the slices.
+    ``spans`` has ``before, after`` for each config. ``step`` and ``t0`` are whole numbers. Each step names the samples that may read it, so that
+    the join is one of equality and the work follows the slices.
     """
-    offsets = F.sequence(F.lit(-after), F.lit(before))
-    asked = rows.withColumn("t0", F.explode(F.transform(offsets, lambda k: F.col("step") + k)))
-    return asked.join(t0s, "t0").withColumn("place", F.col("step") - F.col("t0"))
+    offsets = F.array(*(F.struct(F.lit(c).alias("config"), F.lit(k).alias("k")) for c, (before, after) in spans.items() for k in range(-after, before + 1)))
+    asked = rows.withColumn("o", F.explode(offsets)).withColumns({"config": F.col("o.config"), "t0": F.col("step") + F.col("o.k")}).drop("o")
+    return asked.join(samples, ["config", "t0"])
 
 
 def patches(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -189,31 +189,43 @@ def patches(cells: DataFrame, keys: list[str]) -> DataFrame:
 def assemble_features(steps: DataFrame, keys: list[str]) -> DataFrame:
     """One array for each key, of its patches' values in the order of steps.
 
-    Keys must name one sample, such as (model, t0, location, variable): an array is as long as its sample.
+    Keys must name one sample, such as (config, t0, place, variable): an array is as long as its sample.
     """
     rows = F.array_sort(F.collect_list(F.struct("step", "patch")))
     return steps.groupBy(*keys).agg(F.flatten(F.transform(rows, lambda r: r["patch"])).alias("values"))
 
 
 def sample_features(
-    grid: DataFrame, samples: DataFrame, locations: DataFrame, constants: DataFrame, window: tuple[int, int], steps: tuple[int, int],
+    grid: DataFrame, samples: DataFrame, spans: dict[str, tuple[int, int]], locations: DataFrame, constants: DataFrame, window: tuple[int, int],
     accumulated: list[int] | None = None, tile: int = 4,
 ) -> DataFrame:
-    """Features of each (model, t0, location, variable): the slice of time, cropped, differenced and normalised.
+    """Features ``config, t0, loc_y, loc_x, variable, values``: the slice of time, cropped, differenced and normalised.
 
-    ``grid`` has ``variable, step, y, x, value``; ``samples`` ``model, t0``; ``window`` is the height and width
-    around each location; ``steps`` how many steps before and after t0. Accumulated variables become the
-    next step's value less this one's before the slice, so their last step is absent. Cells are gathered into
-    patches before the slices overlap, so that a step is copied for each t0 as one row.
+    ``grid`` has ``variable, step, y, x, value``; ``samples`` ``config, t0``; ``spans`` how many steps a config reads before and
+    after t0; ``window`` is the height and width around each place of ``locations``. Accumulated variables become the
+    next step's value less this one's before the slice, so their last step is absent.
+
+    Features belong to an input configuration and a place, and are made once for all models and locations that share
+    them (see ``features_of``). The grid is read once: cells outside all windows go before anything is worked out, and cells are gathered
+    into patches before the slices overlap, so that a step is copied for each t0 as one row.
     """
-    rows = grid
+    places = locations.select("loc_y", "loc_x").distinct().withColumn("location_id", F.struct("loc_y", "loc_x"))
+    y0, x0 = F.col("loc_y") - window[0] // 2, F.col("loc_x") - window[1] // 2
+    used = places.select(F.explode(F.sequence(y0, y0 + window[0] - 1)).alias("y"), "loc_x").distinct().select("y", F.explode(F.sequence(x0, x0 + window[1] - 1)).alias("x")).distinct()
+    rows = grid.join(small(used), ["y", "x"], "left_semi")
     if accumulated:
-        summed = F.col("variable").isin(accumulated)
         ahead = F.lead("value").over(Window.partitionBy("variable", "y", "x").orderBy("step"))
-        diffed = grid.where(summed).withColumn("value", ahead - F.col("value")).where(F.col("value").isNotNull())
-        rows = grid.where(~summed).unionByName(diffed)
-    near = window_cells(normalise(rows, constants), locations, *window, tile)
-    return assemble_features(time_slices(patches(near, ["location_id", "variable"]), samples, *steps), ["model", "t0", "location_id", "variable"])
+        value = F.when(F.col("variable").isin(accumulated), ahead - F.col("value")).otherwise(F.col("value"))
+        rows = rows.withColumn("value", value).where(F.col("value").isNotNull())
+    near = window_cells(normalise(rows, constants), places, *window, tile)
+    done = assemble_features(time_slices(patches(near, ["location_id", "variable"]), samples, spans), ["config", "t0", "location_id", "variable"])
+    return done.select("config", "t0", "location_id.loc_y", "location_id.loc_x", "variable", "values")
+
+
+def features_of(features: DataFrame, models: DataFrame, locations: DataFrame) -> DataFrame:
+    """``sample_features`` for each model (``model, config``) and location that has them: ``model, t0, location_id, variable, values``."""
+    named = features.join(small(models), "config").join(small(locations.select("location_id", "loc_y", "loc_x")), ["loc_y", "loc_x"])
+    return named.select("model", "t0", "location_id", "variable", "values")
 
 
 def prepare_nwp(

@@ -567,21 +567,26 @@ def grid_lonlat_lookup(spark, sf_dir):
     d as (select location_id, variable, frame as step, y, x, case when variable in (1, 3) then lead(value) over (partition by location_id, variable, y, x order by frame) - value else value end as raw from near),
     n as (select location_id, variable, step, y, x, (raw - mean) / std as value from d join c using (variable) where raw is not null),
     s as (select 'short' as model, step + k as t0, * from n cross join range(0, 3) as r(k) union all select 'long', step + k, * from n cross join range(-1, 3) as r(k)),
-    f as (select model, t0, location_id, variable, step, y, x, value from s where t0 in (select frame from grid) and (model = 'short' or t0 % 2 = 0)),
+    m as (select * from s union all select 'twin', * exclude (model) from s where model = 'short'),
+    f as (select model, t0, location_id, variable, step, y, x, value from m where t0 in (select frame from grid) and (model <> 'long' or t0 % 2 = 0)),
     o as (select *, row_number() over (partition by model, t0, location_id, variable order by step, y, x) as place from f)
     select model, t0, location_id, variable, count(*) as n_values, round(sum(value * place), 4) as checksum, max(case when place = 1 then value end) as first_value from o group by 1, 2, 3, 4""",
     "grid",
 )
 def assemble_features(spark, sf_dir):
-    """Two models with slices of their own, of all t0 and of every other one; variables 1 and 3 are accumulated."""
+    """Three models, two of one configuration: slices of all t0 and of every other one; variables 1 and 3 are accumulated."""
+    checksum = F.aggregate(F.transform("values", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
+    return _features(spark, sf_dir).select("model", "t0", "location_id", "variable", F.size("values").alias("n_values"), F.round(checksum, 4).alias("checksum"), F.get("values", F.lit(0)).alias("first_value"))
+
+
+def _features(spark, sf_dir):
     cells = views.grid(spark, sf_dir).withColumnRenamed("frame", "step")
     places = _places(spark, sf_dir)
     constants = values(spark, CONSTANTS, "variable long, mean double, std double")
     t0s = cells.select(F.col("step").alias("t0")).distinct()
-    of = lambda model, rows, steps: g.sample_features(cells, rows.select(F.lit(model).alias("model"), "t0"), places, constants, (4, 3), steps, [1, 3])
-    both = of("short", t0s, (2, 0)).unionByName(of("long", t0s.where("t0 % 2 = 0"), (2, 1)))
-    checksum = F.aggregate(F.transform("values", lambda x, i: x * (i + 1)), F.lit(0.0), lambda a, x: a + x)
-    return both.select("model", "t0", "location_id", "variable", F.size("values").alias("n_values"), F.round(checksum, 4).alias("checksum"), F.get("values", F.lit(0)).alias("first_value"))
+    samples = t0s.withColumn("config", F.explode(F.when(F.col("t0") % 2 == 0, F.lit(["past", "both"])).otherwise(F.lit(["past"]))))
+    made = g.sample_features(cells, samples, {"past": (2, 0), "both": (2, 1)}, places, constants, (4, 3), [1, 3])
+    return g.features_of(made, values(spark, [("short", "past"), ("twin", "past"), ("long", "both")], "model string, config string"), places)
 
 
 # --- capacities ----------------------------------------------------------------------------------

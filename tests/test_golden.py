@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -231,8 +232,17 @@ def test_satellite_repair(spark):
 def test_features_of_a_sample(spark):
     """Slices of three steps of a 2 x 2 window; the accumulated variable is differenced first and lacks its last step."""
     cells = spark.createDataFrame([(k, s, y, x, float(100 * k + 10 * s * s + 3 * y + x)) for k in (0, 1) for s in range(5) for y in range(3) for x in range(3)], "variable long, step long, y long, x long, value double")
-    samples = spark.createDataFrame([("m", 4)], "model string, t0 long")
-    places = spark.createDataFrame([(7, 1, 1)], "location_id long, loc_y long, loc_x long")
+    samples = spark.createDataFrame([("c", 4), ("d", 4)], "config string, t0 long")
+    places = spark.createDataFrame([(7, 1, 1), (8, 1, 1), (9, 2, 2)], "location_id long, loc_y long, loc_x long")
     constants = spark.createDataFrame([(0, 0.0, 1.0), (1, 10.0, 2.0)], "variable long, mean double, std double")
-    found = {r["variable"]: r["values"] for r in g.sample_features(cells, samples, places, constants, (2, 2), (2, 0), [1]).collect()}
-    assert found == {0: [10.0 * s * s + 3 * y + x for s in (2, 3, 4) for y in (0, 1) for x in (0, 1)], 1: [(10.0 * (2 * s + 1) - 10) / 2 for s in (2, 3) for _ in range(4)]}
+    made = g.sample_features(cells, samples, {"c": (2, 0), "d": (0, 0)}, places, constants, (2, 2), [1])
+    models = spark.createDataFrame([("m", "c"), ("n", "c"), ("o", "d")], "model string, config string")
+    found = {(r["model"], r["location_id"], r["variable"]): r["values"] for r in g.features_of(made, models, places).collect()}
+    wanted = {0: [10.0 * s * s + 3 * y + x for s in (2, 3, 4) for y in (0, 1) for x in (0, 1)], 1: [(10.0 * (2 * s + 1) - 10) / 2 for s in (2, 3) for _ in range(4)]}
+    for model in "mn":
+        for place in (7, 8):
+            assert {k[2]: v for k, v in found.items() if k[:2] == (model, place)} == wanted
+    assert found["o", 9, 0] == [160.0 + 3 * y + x for y in (1, 2) for x in (1, 2)] and ("o", 9, 1) not in found
+    # Places and configurations that models share are made once, from one scan of the grid.
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert made.count() == 2 * 2 + 2 and len(re.findall(r"Scan ExistingRDD\[variable#\d+L?,step#", plan)) == 1
