@@ -58,6 +58,8 @@ START, START_1, START_2 = (0.2, 0.3, 0.5), (0.0, 0.3, 0.9, 1.6), (0.0, 1.0, 2.5,
 STATES, DEPTHS = 4, 4
 #: How often a word counts at most in what the speller learns.
 DAMPED = 2
+#: About so many words teach the speller's mixer in a row; the weights of all such blocks are averaged.
+LEARNT_TOGETHER = 50_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -398,15 +400,16 @@ def fit(words: DataFrame) -> Corpus:
     tables = tables.reshape(2, ORDERS, SLOTS)
     counted = spark.sparkContext.broadcast(tables)
 
-    def taught(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Weights that this task's words teach, with the number of words."""
-        for frame in frames:
-            own = frame[frame["word"].str.len() > 0]
-            if len(own):
-                weights = learn_mixer(*counted.value, own["word"].map(bytes).tolist(), own["n"].to_numpy(np.float64))
-                yield pd.DataFrame({"place": np.arange(weights.size), "weight": weights.ravel() * len(own), "n": len(own)})
+    def taught(rows: pd.DataFrame) -> pd.DataFrame:
+        """Weights that a block's words teach one after the other, with the number of words."""
+        own = rows.sort_values(["order", "word"])
+        weights = learn_mixer(*counted.value, own["word"].map(bytes).tolist(), own["n"].to_numpy(np.float64))
+        return pd.DataFrame({"place": np.arange(weights.size), "weight": weights.ravel() * len(own), "n": len(own)})
 
-    each = damped.sortWithinPartitions(F.xxhash64("word", F.lit(1)), "word").mapInPandas(taught, "place int, weight double, n long")
+    # Blocks and their order come from the words' hashes, so that neither partitions nor batches change what is learnt.
+    blocks = max(1, -(-int(totals[1]) // LEARNT_TOGETHER))
+    placed = damped.where(F.octet_length("word") > 0).select("*", F.xxhash64("word", F.lit(1)).alias("order"))
+    each = placed.withColumn("block", F.pmod(F.xxhash64("word", F.lit(2)), F.lit(blocks))).groupBy("block").applyInPandas(taught, "place int, weight double, n long")
     mean = each.groupBy("place").agg((F.sum("weight") / F.sum("n")).alias("weight")).toPandas()
     weights = np.zeros(32 * (2 * ORDERS + 1))
     weights[mean["place"]] = mean["weight"]

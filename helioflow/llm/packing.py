@@ -270,22 +270,24 @@ def pack_sequences(
     underfull pools their pieces with those of all shards; that pool, at most a few bins from each
     shard, is dealt to shards and packed once more.
     """
-    names = ["doc_id", "no_id", "piece", "start", "length", "ids_crc32"]
-    # Pandas would make floats of ids with nulls among them.
-    marked = {"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0))}
+    names = ["doc_id", "no_id", "piece", "start", "length", "ids_crc32", "place"]
+    # Pandas would make floats of ids with nulls among them. The place, fixed by the checkpoint, deals equal rows to different shards.
+    marked = {"no_id": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0)), "place": F.monotonically_increasing_id()}
     cut_docs = cut(pieces(docs, tokenizer_path, capacity, end_id).withColumns(marked).select(*names))
-    shape = "doc_id long, no_id boolean, piece int, start long, length long, ids_crc32 long, shard long, sequence_id long, offset long, fill long"
+    shape = "doc_id long, no_id boolean, piece int, start long, length long, ids_crc32 long, place long, shard long, sequence_id long, offset long, fill long"
 
-    def dealt(rows: DataFrame, first: int) -> DataFrame:
+    def dealt(rows: DataFrame, first: int) -> tuple[DataFrame, int]:
+        """Packed shards, numbered from ``first`` on, and the number after the last."""
         shards = max(1, -(-rows.count() // shard_pieces))
-        key = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(shards)) + first
-        return rows.select(*names, key.alias("shard")).groupBy("shard").applyInPandas(_packer(capacity), shape)
+        key = F.pmod(F.xxhash64("place"), F.lit(shards)) + first
+        return rows.select(*names, key.alias("shard")).groupBy("shard").applyInPandas(_packer(capacity), shape), first + shards
 
     whole = cut_docs.where(F.col("length") == capacity).select(
         *names, (-F.monotonically_increasing_id() - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    once = cut(dealt(cut_docs.where(F.col("length") < capacity), 0))
+    once, shards = dealt(cut_docs.where(F.col("length") < capacity), 0)
+    once = cut(once)
     good = F.col("fill") >= F.lit(capacity * 0.98)
-    twice = dealt(once.where(~good), 1 << 20)
+    twice, _ = dealt(once.where(~good), shards)
     packed = whole.unionByName(once.where(good).select(*names, "sequence_id", "offset")).unionByName(twice.select(*names, "sequence_id", "offset"))
-    return packed.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
+    return packed.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id", "place")

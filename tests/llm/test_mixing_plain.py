@@ -133,3 +133,18 @@ def test_chances_of_the_next_word_add_up():
         costs = mixing.code_costs(codes, np.array(sum(texts, [])), np.repeat([0, 1], [len(t) for t in texts]), 2)
         total += math.exp(costs[1] - costs[0])
     assert math.isclose(total, 1, rel_tol=1e-4)
+
+
+def test_batches_and_partitions_change_nothing(spark, sf_dir, monkeypatch):
+    """What the mixer learns depends on the words alone."""
+    docs = read(spark, sf_dir, "documents")
+    monkeypatch.setattr(mixing, "LEARNT_TOGETHER", 2000)
+    found = []
+    for batch, parts in (("10000", 4), ("300", 13)):
+        with_batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            found.append({r["doc_id"]: r["score"] for r in mixing.scores(docs.repartition(parts)).collect()})
+        finally:
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", with_batch)
+    assert max(abs(found[0][k] - v) / max(1.0, abs(v)) for k, v in found[1].items()) < 1e-5
