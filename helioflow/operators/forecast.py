@@ -5,9 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
+from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helioflow.functions.columns import epoch_minutes, is_number
 from helioflow.functions.tables import require_none
@@ -88,6 +92,32 @@ def score_model(features: DataFrame, predictor: Callable[[pd.DataFrame], list[li
     return features.mapInPandas(scored, f"{fields}, scores array<double>")
 
 
+def score_features(features: DataFrame, folder: str, load: Callable[[str], Callable[[np.ndarray], np.ndarray]], length: int, width: int, batch: int = 4096) -> DataFrame:
+    """Batch inference on assembled features (``values`` beside their keys): ``scores`` of ``width`` for each row of ``length`` values.
+
+    ``folder`` holds the predictor and is copied to every executor, from whatever store it is in; ``load`` gets the local copy's path,
+    once for each Python worker, and returns a function of a batch of rows (a matrix) that returns a matrix of scores. Rows
+    whose sample isn't complete, of another length or with null or NaN, are left out.
+    """
+    features.sparkSession.sparkContext.addFile(folder, recursive=True)
+    name = folder.rstrip("/").rsplit("/", 1)[-1]
+
+    def made() -> Callable[[np.ndarray], np.ndarray]:
+        predictor = load(SparkFiles.get(name))
+
+        def predict(rows: np.ndarray) -> np.ndarray:
+            found = np.asarray(predictor(rows), np.float64)
+            if found.shape != (len(rows), width):
+                raise ValueError("the predictor returned another shape")
+            return found
+
+        return predict
+
+    score = predict_batch_udf(made, return_type=T.ArrayType(T.DoubleType()), batch_size=batch, input_tensor_shapes=[[length]])
+    whole = features.where((F.size("values") == length) & F.forall("values", is_number))
+    return whole.withColumn("scores", score("values")).drop("values")
+
+
 def to_absolute(fractions: DataFrame, capacity: DataFrame) -> DataFrame:
     """Fractions of capacity to megawatts, joined by location."""
     return fractions.join(capacity, "location_id").withColumn("value", F.col("value") * F.col("capacity")).drop("capacity")

@@ -356,7 +356,8 @@ def location_window(spark, sf_dir):
 
 @query(f"{_WINDOW_SQL} select min(x) as x_min, max(x) as x_max, min(y) as y_min, max(y) as y_max from near", "grid")
 def bounding_box(spark, sf_dir):
-    return g.bounding_box(_windows(spark, sf_dir))
+    cells = views.grid(spark, sf_dir).select("y", "x").distinct()
+    return g.bounding_box(g.window_cells(cells, _places(spark, sf_dir), 4, 3, 4))
 
 
 _QUANTISED = "floor(value * 2)"
@@ -589,6 +590,34 @@ def _features(spark, sf_dir):
     return g.features_of(made, values(spark, [("short", "past"), ("twin", "past"), ("long", "both")], "model string, config string"), places)
 
 
+def _linear(folder):
+    """A predictor from text files of ``quantile,place,weight``."""
+    import glob
+
+    import numpy as np
+
+    rows = np.array([[float(x) for x in line.split(",")] for name in glob.glob(f"{folder}/part-*") for line in open(name)])
+    weights = np.zeros((int(rows[:, 1].max()) + 1, int(rows[:, 0].max()) + 1))
+    weights[rows[:, 1].astype(int), rows[:, 0].astype(int)] = rows[:, 2]
+    return lambda values: values @ weights
+
+
+@query(
+    SQL["assemble_features"].split("select model, t0, location_id, variable, count(*)")[0]
+    + """, whole as (select model, t0, location_id, variable from o group by 1, 2, 3, 4 having count(*) = 36)
+    select model, t0, location_id, variable, """
+    + ", ".join(f"round(sum(value * ((place - 1) * {q + 2} % 7 - 3) / 64.0), 5) as q{q}" for q in range(3))
+    + " from o join whole using (model, t0, location_id, variable) group by 1, 2, 3, 4"
+)
+def score_features(spark, sf_dir):
+    """Complete samples of 36 values, scored by a model of three quantiles that each worker loads from a folder."""
+    path = f"{_fresh(spark)}"
+    weight = lambda q: F.concat_ws(",", F.lit(str(q)), F.col("id").cast("string"), ((F.col("id") * (q + 2) % 7 - 3) / 64.0).cast("string"))
+    spark.range(36).select(F.explode(F.array(*map(weight, range(3)))).alias("value")).coalesce(1).write.text(path)
+    scored = f.score_features(_features(spark, sf_dir), path, _linear, 36, 3)
+    return scored.select("model", "t0", "location_id", "variable", *(F.round(F.get("scores", F.lit(q)), 5).alias(f"q{q}") for q in range(3)))
+
+
 # --- capacities ----------------------------------------------------------------------------------
 
 _CAPACITY_SQL = """>live as (select location_id, capacity from locations union all select 0, 5000.0 where not exists (select 1 from locations where location_id = 0)),
@@ -1018,13 +1047,13 @@ def latest_observation(spark, sf_dir):
 
 
 @query(
-    """with r as (select 'model_' || s_suppkey as name, '1.' || s_nationkey as version from supplier), w as (select 'model_' || c_custkey as name, '1.' || c_nationkey as version from customer where c_custkey >= 3)
+    """with r as (select 'model_' || s_suppkey as name, '1.' || s_nationkey as version from supplier), w as (select 'model_' || c_custkey as name, '1.' || c_nationkey as version from customer)
     select name, coalesce(w.version, r.version) as version, case when r.version is null then 'insert' when w.version is null or w.version = r.version then 'keep' else 'update' end as action from r full join w using (name)"""
 )
 def register_forecaster(spark, sf_dir):
     """Suppliers are the registry, customers what is to be registered."""
     named = lambda name, key, mark: table(spark, sf_dir, name).select(F.concat(F.lit(mark), key[0]).alias("name"), F.concat(F.lit("1."), key[1]).alias("version"))
-    wanted = table(spark, sf_dir, "customer").where("c_custkey >= 3").select(F.concat(F.lit("model-"), "c_custkey").alias("name"), F.concat(F.lit("1."), "c_nationkey").alias("version"))
+    wanted = table(spark, sf_dir, "customer").select(F.concat(F.lit("model-"), "c_custkey").alias("name"), F.concat(F.lit("1."), "c_nationkey").alias("version"))
     return store.register_forecasters(named("supplier", ("s_suppkey", "s_nationkey"), "model_"), wanted)
 
 
@@ -1071,14 +1100,8 @@ def forecast_coverage(spark, sf_dir):
     nation = rows.select("model", "init_time", F.lit(0).cast("long").alias("location_id"), "target_time")
     level = lambda names: F.explode(F.lit(names)).alias("level")
     have = rows.where("location_id > 0").select("model", "init_time", "location_id", "target_time", level(["p50", "p10"])).unionByName(nation.select("*", level(COVERED["nation"])))
-    expected = store.expected_values(runs, rows.select("location_id").union(nation.select("location_id")), HORIZONS, COVERED)
-    return store.coverage(expected, have, ["model", "init_time", "location_id", "target_time", "level"])
-
-
-@query(f"select 'observed_' || location_id as name, strftime(max(target_time), '{DAY}') as at from forecast where model = 'error' group by 1 union all select 'modified_' || event_type, strftime(max(ts), '{DAY}') from events group by 1", "forecast")
-def run_metadata(spark, sf_dir):
-    modified = views.events(spark, sf_dir).select(F.col("event_type").alias("provider"), F.col("ts").alias("modified"))
-    return store.run_metadata(_observations(spark, sf_dir), modified)
+    places = rows.select("location_id").union(nation.select("location_id"))
+    return store.coverage_of(runs, places, have, HORIZONS, COVERED)
 
 
 def _fresh(spark) -> str:
@@ -1092,6 +1115,20 @@ def _fresh(spark) -> str:
     return path
 
 
+@query(f"select 'observed_' || location_id as name, strftime(max(target_time), '{DAY}') as at from forecast where model = 'error' group by 1 union all select 'modified_' || event_type, strftime(date_trunc('second', max(ts)), '{DAY}') from events group by 1".replace(" as at", " as \"at\""), "forecast")
+def run_metadata(spark, sf_dir):
+    """Each source is a folder of files whose last change is set to its newest event, and read back from the files' metadata."""
+    path = _fresh(spark)
+    rows = views.events(spark, sf_dir).select(F.col("event_type").alias("provider"), "ts", "value")
+    rows.repartition("provider").write.partitionBy("provider").parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for row in rows.groupBy("provider").agg(F.unix_millis(F.date_trunc("second", F.max("ts"))).alias("ms")).collect():  # a few sources
+        for file in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/provider={row['provider']}/*.parquet")):
+            files.setTimes(file.getPath(), row["ms"], -1)
+    return store.run_metadata(_observations(spark, sf_dir), store.file_times(spark, path, "provider"))
+
+
 def _hours(spark, sf_dir):
     """Frames of an hour; the cells are the times in them, apart from each other by some."""
     placed = views.provider_frames(spark, sf_dir).withColumns({"variable": F.lit(1), "y": F.minute("time"), "x": F.minute("time") * 3 % 41})
@@ -1140,6 +1177,20 @@ def stored_times(spark, sf_dir):
     return store.stored_times(spark, path)
 
 
+@query(
+    f"""{_HOURS_SQL}, needs as ({values_sql(MODEL_INPUTS, "model, provider")}), box as (select min(s_suppkey % 40 - 4) // 50 as y0, max(s_suppkey % 40 + 3) // 50 as y1, min(s_suppkey // 7 % 20 - 2) // 50 as x0, max(s_suppkey // 7 % 20 + 1) // 50 as x1 from supplier)
+    select provider, {text("time")}, y, x, value from cells, box where provider in (select provider from needs where model = 'intraday') and y // 50 between y0 and y1 and x // 50 between x0 and x1""",
+    "provider_frames",
+)
+def demanded_chunks(spark, sf_dir):
+    """Of a stored grid what one model needs: its providers' folders, and tiles in the box of all places."""
+    path = _fresh(spark)
+    store.write_grid(_hours(spark, sf_dir), path, "ecmwf")
+    needs = values(spark, MODEL_INPUTS, "model string, provider string").where("model = 'intraday'")
+    places = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 40).alias("loc_y"), (F.expr("s_suppkey div 7") % 20).alias("loc_x"))
+    return store.cells_of(store.demanded_chunks(spark, path, needs, places, (8, 4), "ecmwf")).select("provider", "time", "y", "x", "value")
+
+
 _TWO_INITS = ">runs as (select * from forecast union all select model, init_time + interval 30 minute, location_id, target_time + interval 30 minute, mw * 2 from forecast)"
 
 
@@ -1189,7 +1240,7 @@ def stream_frame_quality(spark, sf_dir):
     return spark.read.schema("frame timestamp, source string, n_cells long, n_zero long").parquet(f"{path}/out").where("source <> 'end'")
 
 
-@query(f"select event_type as source, strftime(max(ts), '{DAY}') as newest from events group by 1")
+@query(f"select event_type as source, strftime(max(ts), '{DAY}') as newest, date_diff('minute', max(date_trunc('minute', ts)), (select date_trunc('day', max(ts)) + interval 1 day from events)) as delay_minutes from events group by 1")
 def stream_source_freshness(spark, sf_dir):
     from helioflow.streaming import jobs
 
@@ -1198,9 +1249,10 @@ def stream_source_freshness(spark, sf_dir):
     def write(batch, batch_id):
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}/out")
 
-    run = jobs.source_freshness(stream).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+    t0 = views.events(spark, sf_dir).agg(plus_minutes(floor_minutes(F.max("ts"), 1440), 1440)).first()[0]
+    run = jobs.source_freshness(stream, F.lit(t0)).writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.parquet(f"{path}/out").where("source <> 'end'").groupBy("source").agg(F.max("newest").alias("newest"))
+    return spark.read.parquet(f"{path}/out").where("source <> 'end'").groupBy("source").agg(F.max("newest").alias("newest"), F.min("delay_minutes").alias("delay_minutes"))
 
 
 def _validated_stream(spark, sf_dir):

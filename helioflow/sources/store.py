@@ -137,6 +137,21 @@ def read_grid(
     return cells_of(crop(chunks, *box) if box else chunks)
 
 
+def demanded_chunks(spark: SparkSession, path: str, model_inputs: DataFrame, locations: DataFrame, window: tuple[int, int], layout: str) -> DataFrame:
+    """Stored chunks that some model needs (``provider`` of ``model_inputs``), of tiles that the locations' windows touch.
+
+    Providers reach the scan as dynamic partition filters, so that other sources' files aren't listed into it; the box of all
+    windows reaches it as scalar filters on the tiles.
+    """
+    edge = LAYOUTS[layout][0]
+    chunks = spark.read.schema(CHUNK_SCHEMA).parquet(path)
+    for axis, size in zip("yx", window, strict=True):
+        low = F.col(f"loc_{axis}") - size // 2
+        ends = locations.agg(F.floor(F.min(low) / edge).cast("int").alias("first"), F.floor(F.max(low + size - 1) / edge).cast("int").alias("last"))
+        chunks = chunks.where((F.col(f"tile_{axis}") >= ends.select("first").scalar()) & (F.col(f"tile_{axis}") <= ends.select("last").scalar()))
+    return chunks.join(small(model_inputs.select("provider").distinct()), "provider", "left_semi")
+
+
 def stored_times(spark: SparkSession, path: str) -> DataFrame:
     """``provider, time`` of the stored frames: of the chunks only their frames' times are read, a row for each tile, none for cells."""
     return spark.read.schema(CHUNK_SCHEMA).parquet(path).select("provider", F.explode("frames.time").alias("time")).distinct()
@@ -303,6 +318,25 @@ def coverage(expected: DataFrame, forecast: DataFrame, keys: list[str]) -> DataF
     return joined.groupBy("model", "init_time").agg(F.count("*").alias("n_expected"), (F.count("*") - F.count("have")).alias("n_missing"))
 
 
+def coverage_of(runs: DataFrame, places: DataFrame, forecast: DataFrame, horizons: dict[str, int], levels: dict[str, list[str]], step: int = 30) -> DataFrame:
+    """For each run (``model, init_time, kind``): values expected and missing, as ``coverage`` of ``expected_values``, by counting.
+
+    What is expected is a product of numbers; of ``forecast`` (``model, init_time, location_id, target_time, level``) the distinct rows that
+    are expected are counted. Which ones are missing can be asked of ``expected_values`` for the runs that lack some.
+    """
+    known = places.select("location_id").distinct()
+    n = known.agg(F.count_if(F.col("location_id") != 0).alias("n"), F.count_if(F.col("location_id") == 0).alias("nation"))
+    ahead = F.create_map(*(F.lit(x) for kind, k in horizons.items() for x in (kind, k)))[F.col("kind")]
+    counted = runs.select("model", "init_time", ahead.alias("ahead")).crossJoin(F.broadcast(n))  # one row
+    expected = counted.select("model", "init_time", "ahead", (F.col("ahead") * (F.col("n") * len(levels["location"]) + F.col("nation") * len(levels["nation"]))).alias("n_expected"))
+    horizon = epoch_minutes(F.col("target_time")) - epoch_minutes(F.col("init_time"))
+    asked = F.when(F.col("location_id") == 0, F.col("level").isin(levels["nation"])).otherwise(F.col("level").isin(levels["location"]))
+    own = forecast.where(asked & (F.unix_micros("target_time") - F.unix_micros("init_time") == horizon * 60_000_000) & (horizon % step == 0)).join(known, "location_id", "left_semi")
+    met = own.join(small(expected.select("model", "init_time", "ahead")), ["model", "init_time"]).where(horizon.between(step, F.col("ahead") * step))
+    have = met.select("model", "init_time", "location_id", "target_time", "level").distinct().groupBy("model", "init_time").agg(F.count("*").alias("have"))
+    return expected.join(have, ["model", "init_time"], "left").select("model", "init_time", "n_expected", (F.col("n_expected") - F.coalesce("have", F.lit(0))).alias("n_missing"))
+
+
 def expected_values(runs: DataFrame, locations: DataFrame, horizons: dict[str, int], levels: dict[str, list[str]], step: int = 30) -> DataFrame:
     """Every value that a run must have: ``model, init_time, location_id, target_time, level``.
 

@@ -114,6 +114,23 @@ def test_reads_are_pruned(spark, tmp_path):
     assert store.read_grid(spark, path, provider="absent").count() == 0
 
 
+def test_only_demanded_files_are_read(spark, tmp_path):
+    """Providers that no chosen model needs are pruned at run time, tiles outside the box of all windows by scalar filters."""
+    path = str(tmp_path / "grid")
+    for provider in ("rapid", "full", "other"):
+        store.write_grid(frame(spark, NOON, provider, [(y, x) for y in (0, 150, 950) for x in (0, 250)]), path, "satellite")
+    needs = str(tmp_path / "needs")  # a table of its own, so that Spark can't work the filter out beforehand
+    spark.createDataFrame([("m", "rapid"), ("n", "full")], "model string, provider string").coalesce(1).write.parquet(needs)
+    places = spark.createDataFrame([(1, 120, 40), (2, 160, 60)], "location_id int, loc_y int, loc_x int")
+    chunks = store.demanded_chunks(spark, path, spark.read.parquet(needs).where("model = 'm'"), places, (24, 24), "satellite")
+    found = store.cells_of(chunks)
+    assert sorted((r["provider"], r["y"], r["x"]) for r in found.collect()) == [("rapid", 150, 0)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    parts = plan[plan.index("PartitionFilters") :]
+    assert "dynamicpruning" in parts[: parts.index("ReadSchema")], plan
+    assert parts.lower().count("subquery") >= 4, plan
+
+
 def test_file_times(spark, tmp_path):
     path = str(tmp_path / "grid")
     before = datetime.now() - timedelta(minutes=1)
