@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helioflow.functions.tables import small
 from helioflow.llm.common import cut, stored, within_share
 from helioflow.llm.components import connected_components
 
@@ -227,7 +228,8 @@ def points_of(vectors: DataFrame) -> tuple[DataFrame, DataFrame, str]:
 
 def _split(points: DataFrame, big: DataFrame, kind: str, leaf: int, turn: int) -> tuple[DataFrame, DataFrame]:
     """One more level under the nodes ``big``: their points with new nodes, and those nodes' centres."""
-    drawn = points.join(big.select("node", "m", "level", "centre"), "node").where((F.col("p") == F.col("centre")) | within_share(4 * CENTRES / F.col("m"), "p", F.lit(turn)))
+    # Nodes are few beside their points: small tables of them are broadcast, so that a large node's points stay spread.
+    drawn = points.join(small(big.select("node", "m", "level", "centre")), "node").where((F.col("p") == F.col("centre")) | within_share(4 * CENTRES / F.col("m"), "p", F.lit(turn)))
 
     def centres(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(other=rows["p"] != rows["centre"]).sort_values(["other", "p"])
@@ -241,7 +243,7 @@ def _split(points: DataFrame, big: DataFrame, kind: str, leaf: int, turn: int) -
 
     chosen = stored(drawn.groupBy("node").applyInPandas(centres, "node string, p long, raw binary, level int, k int"))
     chunks = big.select("node", F.col("level").alias("upper"), F.ceil(F.col("m") / (4 * leaf)).alias("chunks"))
-    dealt = points.drop("far").join(chunks, "node").withColumn("chunk", F.pmod(F.xxhash64("p"), F.col("chunks"))).drop("chunks").withColumns({"k": F.lit(None).cast("int"), "level": F.lit(None).cast("int")})
+    dealt = points.drop("far").join(small(chunks), "node").withColumn("chunk", F.pmod(F.xxhash64("p"), F.col("chunks"))).drop("chunks").withColumns({"k": F.lit(None).cast("int"), "level": F.lit(None).cast("int")})
     copied = chosen.join(chunks, "node").withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
     copied = copied.withColumns({"n": F.lit(None).cast("long"), "space": F.lit(None).cast("string"), "nodes": F.lit(None).cast("array<string>")})
 
@@ -273,11 +275,11 @@ def upper_tree(points: DataFrame, kind: str, leaf: int, limit: float) -> tuple[D
         split = (F.col("m") > leaf) & (F.col("level") < LAST) & (F.col("radius") > limit / 4)
         nodes.append(roots.withColumn("leaf", ~split))
         big = heads.where(split)
-        done.append(now.join(big.select("node"), "node", "left_anti"))
+        done.append(now.join(small(big.select("node")), "node", "left_anti"))
         if big.isEmpty():
             break
         turn += 1
-        now, chosen = _split(now.join(big.select("node"), "node", "left_semi"), big, kind, leaf, turn)
+        now, chosen = _split(now.join(small(big.select("node")), "node", "left_semi"), big, kind, leaf, turn)
         mark = F.regexp_extract("node", r"^(.*)\.(\d+)(\+(\d+))?$", 1), F.regexp_extract("node", r"^(.*)\.(\d+)(\+(\d+))?$", 2).cast("int"), F.regexp_extract("node", r"^(.*)\.(\d+)(\+(\d+))?$", 4)
         fresh = now.groupBy("node").agg(*size, F.min("p").alias("least")).withColumns({"parent": mark[0], "k": mark[1], "upper": mark[2]})
         of = chosen.select(F.col("node").alias("parent"), "k", F.col("p").alias("centre"), "raw", F.col("level").alias("own"))
@@ -298,7 +300,10 @@ def upper_tree(points: DataFrame, kind: str, leaf: int, limit: float) -> tuple[D
 def _distance(kind: str) -> Column:
     @F.pandas_udf("double")
     def apart(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", _unit(a, kind), _unit(b, kind)), 0)))
+        d = pd.Series(0.0, a.index)
+        for at in a.index.groupby(a.str.len()).values():  # spaces of different dimension
+            d[at] = np.sqrt(np.maximum(2 - 2 * np.einsum("ij,ij->i", _unit(a[at], kind), _unit(b[at], kind)), 0))
+        return d
 
     return apart("raw_a", "raw_b")
 
@@ -332,7 +337,7 @@ def near_links(points: DataFrame, kind: str, threshold: float, leaf: int) -> tup
     pairs, whole = node_pairs(nodes, kind, limit)
     # A leaf of one direction can be larger than a task's share: it is dealt by hash.
     chunks = nodes.where("leaf").select("node", F.ceil(F.col("m") / leaf).alias("chunks"))
-    dealt = placed.join(chunks, "node").withColumn("cell", F.concat_ws("#", "node", F.pmod(F.xxhash64("p"), F.col("chunks")).cast("string")))
+    dealt = placed.join(small(chunks), "node").withColumn("cell", F.concat_ws("#", "node", F.pmod(F.xxhash64("p"), F.col("chunks")).cast("string")))
 
     def trees(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("p").reset_index(drop=True)
@@ -361,14 +366,14 @@ def near_links(points: DataFrame, kind: str, threshold: float, leaf: int) -> tup
     one = whole.select(F.col("node_a").alias("node"), F.col("centre_b").alias("centre"), F.col("w_b").alias("w"), self.alias("self"))
     two = whole.where(~self).select(F.col("node_b").alias("node"), F.col("centre_a").alias("centre"), F.col("w_a").alias("w"), F.lit(False).alias("self"))
     wholes = cut(one.unionByName(two))
-    members = placed.select("p", "n", F.explode("nodes").alias("node")).join(wholes.select("node").distinct(), "node", "left_semi")
+    members = placed.select("p", "n", F.explode("nodes").alias("node")).join(small(wholes.select("node").distinct()), "node", "left_semi")
     totals = wholes.groupBy("node").agg(F.sum("w").alias("w"), F.bool_or("self").alias("self"))
-    more = members.join(totals, "node").select("p", (F.col("w") - F.when(F.col("self"), F.col("n")).otherwise(0)).alias("n"))
+    more = members.join(small(totals), "node").select("p", (F.col("w") - F.when(F.col("self"), F.col("n")).otherwise(0)).alias("n"))
     degrees = found.where("a = b").select(F.col("a").alias("p"), "n").unionByName(more).groupBy("p").agg(F.sum("n").alias("n"))
     # One edge from each point to a centre of a node that is all links with its own, and of these centres among themselves.
     first = wholes.groupBy("node").agg(F.min("centre").alias("hub"))
     hubs = wholes.join(first, "node").select(F.col("centre").alias("a"), F.col("hub").alias("b"), "node")
-    inside = members.join(first, "node").select(F.col("p").alias("a"), F.col("hub").alias("b"))
+    inside = members.join(small(first), "node").select(F.col("p").alias("a"), F.col("hub").alias("b"))
     across = hubs.select("a", "b")
     return degrees, found.where("a <> b").select("a", "b").unionByName(inside).unionByName(across)
 
