@@ -87,7 +87,7 @@ def rebuilt_prefixes(products: DataFrame, bases: list[int], base: Callable[[Colu
     """
     ks = range(len(PRIMES))
     sums = [f"s{j}" for j in ks]
-    heads = products.where(F.col("i") <= most_head).groupBy("c").agg(F.array_sort(F.collect_list(F.struct("i", "th", "chars", "total", *sums))).alias("first"))
+    heads = products.where(F.col("i") <= max(most_head, 1)).groupBy("c").agg(F.array_sort(F.collect_list(F.struct("i", "th", "chars", "total", *sums))).alias("first"))
     own = products.groupBy("c").agg(F.max("i").alias("n_own")).join(heads, "c")
     asks = own.withColumns({"b": base(F.col("c")), "h": head(F.col("c")).cast("long")})
     both = asks.join(own.select(F.col("c").alias("b"), F.col("first").alias("given")), "b", "left")
