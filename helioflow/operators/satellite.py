@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helioflow.functions.columns import epoch_minutes
-from helioflow.functions.tables import small
+from helioflow.functions.columns import epoch_minutes, plus_minutes, time_range
+from helioflow.functions.tables import require_none, small
 from helioflow.operators import timeline as t
 
 
@@ -55,7 +55,7 @@ def repair(
     frames = shares if inside is None else cells.select("cadence", "time").distinct().join(shares, ["cadence", "time"], "left")
     recent = recent_frames(frames, t0s, minutes, len(checks))
     if required:
-        t.require_none(t0s.select("t0").join(recent.select("t0"), "t0", "left_anti"), "no satellite source for t0")
+        require_none(t0s.select("t0").join(recent.select("t0"), "t0", "left_anti"), "no satellite source for t0")
     rank = F.row_number().over(Window.partitionBy("t0").orderBy(F.desc("newest"), "cadence"))
     good = recent.withColumn("rank", rank).where("rank = 1")
     for k, (_, threshold) in enumerate(checks):
@@ -67,8 +67,8 @@ def repair(
     valid = plan.groupBy("t0").agg(F.array_sort(F.collect_list("time")).alias("valid_times"))
     newest = F.max("time").over(Window.partitionBy("t0", "cadence"))
     last = plan.select("t0", "cadence", "time", F.when(F.col("weight").isNull(), "seen").otherwise("filled").alias("kind"), newest.alias("newest"))
-    stop = F.least(F.col("t0"), t.plus_minutes(F.col("newest"), limit))
-    more = F.when(F.col("time") == F.col("newest"), t.time_range(t.plus_minutes(F.col("newest"), step), stop, step)).otherwise(F.array().cast("array<timestamp>"))
+    stop = F.least(F.col("t0"), plus_minutes(F.col("newest"), limit))
+    more = F.when(F.col("time") == F.col("newest"), time_range(plus_minutes(F.col("newest"), step), stop, step)).otherwise(F.array().cast("array<timestamp>"))
     wanted = last.select("t0", "cadence", "time", "kind", more.alias("more"))
     made = t.interpolate(cells, plan.drop("t0").distinct(), ["cadence"], cell).drop("filled")
     copied = made.join(wanted, ["cadence", "time"])
