@@ -47,6 +47,25 @@ def test_targets_of_one_place(spark):
     assert [tuple(r) for r in found] == [(0, 1, 2.0), (0, 2, 2.0), (0, 3, None), (0, 6, 1.5), (1, 6, 4.0)]
 
 
+def test_frames_are_summed_in_blocks(spark, monkeypatch):
+    """However many frames there are, a task sums no more values than it may; the result is that of one block."""
+    monkeypatch.setattr(g, "TASK_VALUES", 40)
+    monkeypatch.setattr(g, "BLOCK_VALUES", 10)
+    cells = spark.range(50).select(F.col("id").alias("frame"), F.posexplode(F.array(*(F.col("id") * k * 1.0 for k in range(4))))).selectExpr("frame", "cast(pos div 2 as long) y", "cast(pos % 2 as long) x", "col value")
+    targets = spark.createDataFrame([(i, i % 5 / 4, i % 3 / 2) for i in range(60)], "target_id long, ty double, tx double")
+    found = g.regrid_unless_same(cells, targets, 2, 2, ["frame"], lambda v: F.round(v, 3))
+    assert found.rdd.getNumPartitions() >= 50 * 15 // 40
+    rows = [(r["frame"], r["target_id"], r["value"]) for r in found.collect()]
+    assert sorted(rows) == [(f, i, round(f * (i % 5 / 2 + i % 3 / 2), 3)) for f in range(50) for i in range(60)]
+
+
+@pytest.mark.parametrize("name", ["regrid_bilinear"])
+def test_values_are_rounded_before_targets(spark, sf_dir, name):
+    """Values at a place are rounded once, and come out in runs of their targets."""
+    plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("Generate explode(ids") < plan.index("round(")
+
+
 def test_features_of_keeps_what_was_made(spark):
     made = spark.range(1).select(F.lit("a").alias("config"), F.lit(3).alias("t0"), F.lit(1).alias("loc_y"), F.lit(2).alias("loc_x"), F.lit(0).alias("variable"), F.lit(0.5).alias("score"))
     models = spark.createDataFrame([("m", "a")], "model string, config string")
