@@ -59,7 +59,7 @@ def test_frames_are_summed_in_blocks(spark, monkeypatch):
     assert sorted(rows) == [(f, i, round(f * (i % 5 / 2 + i % 3 / 2), 3)) for f in range(50) for i in range(60)]
 
 
-@pytest.mark.parametrize("name", ["regrid_bilinear"])
+@pytest.mark.parametrize("name", ["regrid_bilinear", "regrid_coordinates"])
 def test_values_are_rounded_before_targets(spark, sf_dir, name):
     """Values at a place are rounded once, and come out in runs of their targets."""
     plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
