@@ -72,3 +72,13 @@ def test_features_of_keeps_what_was_made(spark):
     places = spark.createDataFrame([(7, 1, 2), (8, 1, 2), (9, 2, 2)], "location_id long, loc_y int, loc_x int")
     found = g.features_of(made, models, places).orderBy("location_id").collect()
     assert [(r["model"], r["location_id"], r["score"]) for r in found] == [("m", 7, 0.5), ("m", 8, 0.5)]
+
+
+def test_features_are_dealt_before_locations(spark):
+    """Few rows become many: they are spread over all cores however few bytes they have, and none is lost."""
+    made = spark.range(600).select(F.lit("a").alias("config"), F.col("id").alias("t0"), F.lit(1).alias("loc_y"), F.lit(2).alias("loc_x"), F.lit(0).alias("variable"), F.lit(0.5).alias("score"))
+    models = spark.createDataFrame([("m", "a"), ("n", "a")], "model string, config string")
+    places = spark.range(50).selectExpr("id as location_id", "1 as loc_y", "2 as loc_x")
+    found = g.features_of(made.coalesce(1), models, places)
+    tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 600 * 2 * 50 and len(tasks) > spark.sparkContext.defaultParallelism
