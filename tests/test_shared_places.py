@@ -82,3 +82,19 @@ def test_features_are_dealt_before_locations(spark):
     found = g.features_of(made.coalesce(1), models, places)
     tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(tasks) == 600 * 2 * 50 and len(tasks) > spark.sparkContext.defaultParallelism
+
+
+def test_features_come_out_in_runs(spark, monkeypatch):
+    """In a task, some of a place's locations are named for all its samples before others are; no row is lost, nor are null ids and models."""
+    monkeypatch.setattr(g, "RUN", 8, raising=False)
+    made = spark.range(600).selectExpr("'a' as config", "id div 2 as t0", "id % 2 as loc_y", "2 as loc_x", "0 as variable", "id * 0.5D as score")
+    models = spark.createDataFrame([("m", "a"), (None, "a"), ("o", "b")], "model string, config string")
+    places = spark.range(81).selectExpr("if(id = 80, null, id) as location_id", "id % 2 as loc_y", "2 as loc_x")
+    found = g.features_of(made, models, places).withColumn("task", F.spark_partition_id()).collect()
+    rows = [(r["model"], r["t0"], r["location_id"], r["score"]) for r in found]
+    ids = [*range(80), None]
+    assert set(rows) == {(m, t, i, t + (i or 0) % 2 * 0.5) for m in ("m", None) for t in range(300) for i in ids} and len(rows) == 2 * 300 * 81
+    order = {i: (y, n // 8) for y in (0, 1) for n, i in enumerate([None] * (1 - y) + [k for k in range(80) if k % 2 == y])}
+    for task in {r["task"] for r in found}:
+        seen = [order[r["location_id"]] for r in found if r["task"] == task]
+        assert seen == sorted(seen)
